@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, secrets, token_counts, warc
+from . import chat, exact_dedup, fingerprints, mixing, packing, quality, secrets, token_counts, warc
 from .common import table
 
 
@@ -17,17 +17,46 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf_dir, "documents"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate_perspectives(table(spark, sf_dir, "conversations"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("bucket")
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages")).drop("segments", "error")
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_secret_scans, op2_token_counts, op6_exact_dedup, op9_warc)}
+    ops = (
+        op1_secret_scans, op2_token_counts, op3_mixing, op4_quality_classifier, op5_chat_formatting,
+        op6_exact_dedup, op8_best_fit_packing, op9_warc, op10_fingerprints,
+    )
+    return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": exact_dedup.ORACLE, "op9_warc": warc.ORACLE}
+    return {
+        "op3_mixing": mixing.ORACLE,
+        "op5_chat_formatting": chat.ORACLE,
+        "op6_exact_dedup": exact_dedup.ORACLE,
+        "op9_warc": warc.ORACLE,
+    }
