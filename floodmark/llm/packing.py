@@ -2,8 +2,8 @@
 
 A document is its token ids and an end id; one longer than a sequence is cut into full pieces and a
 rest. Pieces are packed one by one: each goes where the sum, over all gaps, of the squared number of
-open sequences with that gap becomes smallest; of equal choices the fullest sequence wins, and an open
-one before a new one. Longer pieces come first.
+open sequences with that gap becomes smallest; of equal choices the fullest sequence wins, and a new one
+is opened only for a piece that no open one can take. Longer pieces come first.
 
 Scale: tokenising is one pass without a shuffle; a piece is then a row of some 40 bytes. Pieces are
 dealt by hash into shards of about ``shard_pieces``, so a packing task has a bounded number of rows
@@ -98,7 +98,7 @@ def pack(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
             change[:-1] += 2 * count[s + 1 : size] + 1
             change[count[1 : size - s + 1] == 0] = never
             best = len(change) - 1 - int(change[::-1].argmin()) if len(change) else 0
-            if len(change) and change[best] <= 2 * count[s] + 1:
+            if len(change) and change[best] < never:
                 level = best + 1
         if level:
             bin_ = open_at[level].pop()
