@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact_dedup, fingerprints, mixing, packing, quality, secrets, token_counts, warc
+from . import chat, exact_dedup, fingerprints, mixing, packing, quality, secrets, shingle_join, token_counts, warc
 from .common import table
 
 
@@ -33,6 +33,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("bucket")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.link_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -48,7 +52,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     ops = (
         op1_secret_scans, op2_token_counts, op3_mixing, op4_quality_classifier, op5_chat_formatting,
-        op6_exact_dedup, op8_best_fit_packing, op9_warc, op10_fingerprints,
+        op6_exact_dedup, op7_jaccard_join, op8_best_fit_packing, op9_warc, op10_fingerprints,
     )
     return {f.__name__: f for f in ops}
 
