@@ -26,7 +26,7 @@ from .common import table
 
 BITS = 20
 #: At most so many labelled rows are fitted: those whose ids hash lowest.
-SAMPLE = 16_000
+SAMPLE = 8_000
 GRADES = 3
 #: A document is accepted if P(grade >= 2) is at least this.
 ACCEPT = 0.6
@@ -92,9 +92,10 @@ class Model:
 
 def telling(rows: list[np.ndarray], grades: np.ndarray) -> np.ndarray:
     """Features whose documents differ in mean grade from all by ``SCREEN`` standard errors or more."""
-    flat = np.concatenate(rows)
-    docs = np.bincount(flat, minlength=1 << BITS)
-    sums = np.bincount(flat, np.repeat(grades, [len(r) for r in rows]), 1 << BITS)
+    docs, sums = np.zeros(1 << BITS, np.int32), np.zeros(1 << BITS)
+    for r, grade in zip(rows, grades, strict=True):  # features of a row are distinct
+        docs[r] += 1
+        sums[r] += grade
     z = np.abs(sums - docs * grades.mean()) / np.maximum(np.sqrt(docs) * grades.std(), 1e-9)
     return (docs >= LEAST_DOCS) & (z >= SCREEN)
 
@@ -105,8 +106,8 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, seed: int = 0) -> Model:
     if not sum(map(len, rows)):
         return model
     used = np.flatnonzero(telling(rows, grades))
-    place = np.full(1 << BITS, -1)
-    place[used] = np.arange(len(used))
+    place = np.full(1 << BITS, -1, np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
     rows = [p[p >= 0] for p in (place[r] for r in rows)]
     sizes = np.array([len(r) for r in rows])
     rng = np.random.default_rng(seed)
@@ -159,7 +160,7 @@ def fit_model(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # at most ``sample`` rows
     # repeated ids could make the join larger than the sample
     got = rows.mapInPandas(hashed, "doc_id long, grade int, features array<int>").orderBy("doc_id", "features").limit(sample).toPandas()
-    return fit([np.asarray(f, np.int64) for f in got["features"]], got["grade"].to_numpy(np.int64))
+    return fit([np.asarray(f, np.int32) for f in got["features"]], got["grade"].to_numpy(np.int64))
 
 
 class Scorer:
