@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 
 from ..functions.times import epoch_millis
 
-EPOCH = F.lit("1970-01-01 00:00:00")
-
 
 def interval(ms: int) -> Column:
     return F.make_dt_interval(secs=F.lit(ms / 1000).cast("decimal(18,6)"))
@@ -29,7 +27,7 @@ def tumbling(ts: str, size: str) -> Column:
 def hopping(df: DataFrame, ts: str, size: str, advance: str, name: str = "window") -> DataFrame:
     """One row for each window that holds the record; no window starts before the epoch."""
     rows = df.withColumn(name, F.window(ts, size, advance))
-    return rows.filter(F.col(f"{name}.start") >= EPOCH.cast(rows.schema[ts].dataType))
+    return rows.filter(F.col(f"{name}.start") >= F.lit("1970-01-01 00:00:00").cast(rows.schema[ts].dataType))
 
 
 def unlimited(df: DataFrame, ts: str, start: Column) -> DataFrame:

@@ -7,17 +7,20 @@ from pyspark.sql import functions as F
 from ..operators import history, joins, stateless, tables, windows
 from .registry import query
 
-#: Events as a changelog of users: an error deletes.
-GONE = F.col("event_type") == "error"
+def gone():
+    """Events as a changelog of users: an error deletes."""
+    return F.col("event_type") == "error"
+
+
 LATEST = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events) WHERE r = 1 AND event_type <> 'error')"
 
 
 def users(t):
-    return tables.latest(t.events, "user_id", "event_id", GONE)
+    return tables.latest(t.events, "user_id", "event_id", gone())
 
 
 def user_changes(t):
-    return tables.changes(t.events, "user_id", ["event_type", "value"], "event_id", GONE)
+    return tables.changes(t.events, "user_id", ["event_type", "value"], "event_id", gone())
 
 
 CHANGES = """(SELECT * FROM (SELECT user_id, event_id, n, nv, lag(n) OVER w AS o, lag(nv) OVER w AS ov, lead(1) OVER w IS NULL AS is_latest FROM (
@@ -139,7 +142,7 @@ WHERE c.user_id = s.user_id AND c.event_id < s.event_id AND c.event_type IN ('si
 
 def _arrival(t, how: str):
     table = t.events.filter(F.col("event_type").isin("signup", "error")).select("user_id", "event_id", "event_type")
-    out = joins.stream_table_join(of_type(t, "purchase"), table, "user_id", "event_id", ["event_type"], GONE, how)
+    out = joins.stream_table_join(of_type(t, "purchase"), table, "user_id", "event_id", ["event_type"], gone(), how)
     return out.select("event_id", "user_id", F.col("t_event_type").alias("state"))
 
 
@@ -171,7 +174,7 @@ VERSIONS = """(SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_
 
 
 def user_versions(t):
-    return history.versions(t.events, "user_id", "ts", "event_id", GONE)
+    return history.versions(t.events, "user_id", "ts", "event_id", gone())
 
 
 @query(f"SELECT o.o_orderkey, v.event_type FROM (SELECT *, TIMESTAMP '2024-01-01' + to_seconds((o_orderkey * 173) % 2592000) AS t FROM orders) o JOIN {VERSIONS} v ON o.o_custkey % 150 = v.user_id AND v.ts <= o.t AND (v.valid_to IS NULL OR o.t < v.valid_to) WHERE v.event_type <> 'error'")
@@ -245,7 +248,7 @@ LATE_USERS = "(SELECT * REPLACE (CASE WHEN event_id % 7 = 0 THEN ts - INTERVAL 3
 @query(f"SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM {LATE_USERS}) WHERE r = 1 AND event_type <> 'error'")
 def joi17_latest_by_time(t):
     shifted = t.events.withColumn("ts", F.when(F.col("event_id") % 7 == 0, F.col("ts") - F.expr("interval 30 days")).otherwise(F.col("ts")))
-    return joins.latest_by_time(shifted, "user_id", "ts", "event_id", GONE).select("user_id", "event_id")
+    return joins.latest_by_time(shifted, "user_id", "ts", "event_id", gone()).select("user_id", "event_id")
 
 
 # --- history
