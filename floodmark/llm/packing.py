@@ -13,25 +13,45 @@ whatever the input, and loses a few partly filled sequences a shard.
 from __future__ import annotations
 
 import os
+import string
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import checkpointed
 
 #: Words in a worker's cache of token ids; it is emptied when full.
-CACHE = 300_000
+CACHE = 600_000
+#: How the vocabulary marks a token that ends a word.
+END_OF_WORD = "</w>"
 #: Documents whose new words go to the tokenizer in one call.
-BATCH = 256
+BATCH = 128
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
 
 
+def word_parts(word: str) -> tuple[str, ...]:
+    """Parts of a word that have ids of their own: marks of ASCII at its end stand alone, case is dropped.
+
+    A word that could hold a special token, or whose letters Python might lower in another way than the
+    tokenizer, stays whole.
+    """
+    if "<|" in word:
+        return (word,)
+    bare = word.rstrip(string.punctuation)
+    if bare.isascii():
+        bare = bare.lower()
+    if len(bare) == len(word) or not bare:
+        return (bare or word,)
+    # next to anything but a letter or digit the marks would be one piece with it
+    return (bare, word[len(bare) :]) if bare[-1].isalnum() else (word,)
+
+
 class Words:
     """Token ids of texts as little-endian bytes, word by word.
 
@@ -45,6 +65,9 @@ class Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.cache: dict[str, bytes] = {"": b""}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(END_OF_WORD)]] = True
 
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
         for at in range(0, len(texts), BATCH):
@@ -52,13 +75,29 @@ class Words:
             if len(self.cache) > CACHE:
                 self.cache = {"": b""}
             known = self.cache
-            new = list({w for words in split for w in words if w not in known})
-            for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+            new = {w: word_parts(w) for words in split for w in words if w not in known}
+            self._learn({p for parts in new.values() for p in parts if p not in known})
+            for w, parts in new.items():
+                known[w] = known[parts[0]] if len(parts) == 1 else known[parts[0]] + known[parts[1]]
             for words in split:
                 yield b"".join(map(known.__getitem__, words))
 
 
+    def _learn(self, parts: set[str]) -> None:
+        """Put the ids of ``parts`` into the cache. All words of letters go in one call: each is one
+        piece to the tokenizer, whose last token is one that ends a word."""
+        letters = [p for p in parts if p.isalpha()] if self.ends.any() else []
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(letters)], add_special_tokens=False)[0].ids, "<u4")
+        stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist() if len(ids) else []
+        if len(stops) == len(letters):
+            data = ids.tobytes()
+            self.cache.update(zip(letters, map(data.__getitem__, map(slice, [0, *stops], stops)), strict=True))
+            parts = parts.difference(letters)
+        rest = list(parts)
+        for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            self.cache[p] = np.array(e.ids, "<u4").tobytes()
+
+
 _WORDS: dict[str, Words] = {}
 
 
@@ -130,3 +169,10 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: in
 
     shard = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards))
     return pieces.withColumn("shard", shard).groupBy("shard").applyInPandas(run, PACKED)
+
+
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The packed pieces of ``docs``."""
+    import public_tokenizers
+
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
