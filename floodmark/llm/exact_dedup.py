@@ -49,6 +49,8 @@ def bucket_directory(entries: DataFrame, capacity: int) -> tuple[DataFrame, int]
         sums = levels.groupBy(prefix.alias("prefix")).agg(F.sum("keys").alias(f"keys_{d}"))
         levels = levels.join(sums.select("prefix", f"keys_{d}"), prefix == F.col("prefix"), "left").drop("prefix")
         depth = F.when(F.col(f"keys_{d}") <= capacity, F.lit(d)).otherwise(depth)
+        if d % 8 == 0:  # keep the plan small
+            levels, depth = checkpointed(levels.select("slot", "keys", depth.alias("depth"))), F.col("depth")
     return checkpointed(levels.select("slot", depth.cast("int").alias("depth"))), bits
 
 
