@@ -61,19 +61,23 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
     """``cells`` (source, lang, topic, tokens) with ``weight``, whose marginals follow ``targets``.
 
     A value without a target gets weight 0; cells of 0 tokens keep 0. Targets no table can meet (they
-    ask for cells that don't exist) end after ``sweeps`` with the last weights.
+    ask for cells that don't exist) end with the last weights once four sweeps don't halve the largest
+    miss, or after ``sweeps``.
     """
     targets = {d: written(t, f"mix-target-{d}") for d, t in targets.items()}
     weighted = written(cells.withColumn("weight", F.col("tokens").cast("double")), "mix-cells")
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    miss = float("inf")
     for sweep in range(1, sweeps + 1):
         for d, target in targets.items():
             sums = weighted.groupBy(F.col(d).alias("value")).agg(F.sum("weight").alias("s"))
             scale = sums.join(target, "value", "left").select("value", F.when(F.col("s") > 0, total * F.coalesce("share", F.lit(0.0)) / F.col("s")).otherwise(0.0).alias("scale"))
             weighted = weighted.join(scale, weighted[d] == scale["value"]).withColumn("weight", F.col("weight") * F.col("scale")).drop("value", "scale")
         weighted = written(weighted, "mix-cells")
-        if sweep % 4 == 0 and _error(weighted, targets, total) <= tolerance:
-            break
+        if sweep % 4 == 0:
+            before, miss = miss, _error(weighted, targets, total)
+            if miss <= tolerance or miss > before / 2:
+                break
     return weighted
 
 
