@@ -82,6 +82,9 @@ def features(text: str | None) -> list[int]:
 
 @dataclass
 class Model:
+    """Weights of the features that tell grades apart (ascending ids), and ordered thresholds."""
+
+    features: np.ndarray
     weights: np.ndarray
     thresholds: np.ndarray
 
@@ -89,6 +92,10 @@ class Model:
         """P(grade >= k) for k = 1, 2, ...: one column each."""
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -30, 30)))
 
+    def score(self, rows: list[np.ndarray]) -> np.ndarray:
+        known = dict(zip(self.features.tolist(), self.weights.tolist(), strict=True))
+        return np.array([math.fsum(known.get(f, 0.0) for f in r) for r in rows], float)
+
 
 def telling(rows: list[np.ndarray], grades: np.ndarray) -> np.ndarray:
     """Features whose documents differ in mean grade from all by ``SCREEN`` standard errors or more."""
@@ -102,16 +109,16 @@ def telling(rows: list[np.ndarray], grades: np.ndarray) -> np.ndarray:
 
 def fit(rows: list[np.ndarray], grades: np.ndarray, seed: int = 0) -> Model:
     """Cumulative-link fit by minibatches with adaptive steps; without rows, a model that accepts all."""
-    model = Model(np.zeros(1 << BITS), np.array([-2.0, -1.0]))
+    cut = np.array([-2.0, -1.0])
     if not sum(map(len, rows)):
-        return model
+        return Model(np.array([], np.int64), np.array([]), cut)
     used = np.flatnonzero(telling(rows, grades))
     place = np.full(1 << BITS, -1, np.int32)
     place[used] = np.arange(len(used), dtype=np.int32)
     rows = [p[p >= 0] for p in (place[r] for r in rows)]
     sizes = np.array([len(r) for r in rows])
     rng = np.random.default_rng(seed)
-    w, cut = np.zeros(len(used)), model.thresholds
+    w = np.zeros(len(used))
     squares, cut_squares = np.full(len(used), 1e-3), np.full(GRADES - 1, 1e-3)
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
@@ -120,7 +127,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, seed: int = 0) -> Model:
             pick = order[at : at + BATCH_ROWS]
             flat = np.concatenate([rows[i] for i in pick])
             owner = np.repeat(np.arange(len(pick)), sizes[pick])
-            tails = Model(w, cut).tails(np.bincount(owner, w[flat], len(pick)))
+            tails = Model(used, w, cut).tails(np.bincount(owner, w[flat], len(pick)))
             upper = np.hstack([np.ones((len(pick), 1)), tails])
             lower = np.hstack([tails, np.zeros((len(pick), 1))])
             g, k = grades[pick], np.arange(len(pick))
@@ -136,8 +143,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, seed: int = 0) -> Model:
             cut_squares += step * step
             cut -= rate * step / np.sqrt(cut_squares)
             cut.sort()
-    model.weights[used] = w
-    return model
+    return Model(used, w, cut)
 
 
 def graded(labels: DataFrame) -> DataFrame:
@@ -158,9 +164,17 @@ def fit_model(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model
             yield pd.DataFrame({"doc_id": b["doc_id"], "grade": b["grade"], "features": [features(t) for t in b["text"]]})
 
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # at most ``sample`` rows
-    # repeated ids could make the join larger than the sample
-    got = rows.mapInPandas(hashed, "doc_id long, grade int, features array<int>").orderBy("doc_id", "features").limit(sample).toPandas()
-    return fit([np.asarray(f, np.int32) for f in got["features"]], got["grade"].to_numpy(np.int64))
+    hashed_rows = rows.mapInPandas(hashed, "doc_id long, grade int, features array<int>")
+
+    def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        got = pd.concat([pd.DataFrame({"features": [], "grade": []}), *batches])
+        m = fit([np.asarray(f, np.int32) for f in got["features"]], got["grade"].to_numpy(np.int64))
+        yield pd.DataFrame({"features": [m.features], "weights": [m.weights], "thresholds": [m.thresholds]})
+
+    # one task fits: its rows are the sample, whatever the input (repeated ids could make the join larger)
+    sample_rows = hashed_rows.orderBy("doc_id", "features").limit(sample).coalesce(1)
+    m = sample_rows.mapInPandas(fitted, "features array<long>, weights array<double>, thresholds array<double>").first()
+    return Model(np.array(m[0], np.int64), np.array(m[1], float), np.array(m[2], float)) if m else fit([], np.array([]))
 
 
 class Scorer:
@@ -168,9 +182,10 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model, self.words = model, {}
+        self.weights = dict(zip(model.features.tolist(), model.weights.tolist(), strict=True))
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        weights, known, out = self.model.weights, self.words, []
+        weights, known, out = self.weights, self.words, []
         for t in texts:
             words, shape = raw_features(t)
             if len(known) > CACHE:
@@ -179,11 +194,12 @@ class Scorer:
             for w in words:
                 found = known.get(w)
                 if found is None:
-                    found = known[w] = tuple((f, float(weights[f])) for f in word_features(w))
-                used.update(found)
-            for s in shape:
-                f = feature(s)
-                used[f] = float(weights[f])
+                    found = known[w] = tuple((f, weights[f]) for f in word_features(w) if f in weights)
+                if found:
+                    used.update(found)
+            for f in map(feature, shape):
+                if f in weights:
+                    used[f] = weights[f]
             out.append(math.fsum(used.values()))
         return np.array(out, float)
 
@@ -197,7 +213,7 @@ def score_documents(docs: DataFrame, model: Model, keep: list[str] | None = None
     A null text counts as empty. Repeated rows get equal results; null ids pass through.
     """
     keep = keep or ["doc_id"]
-    shipped = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size: 2 ** BITS weights
+    shipped = docs.sparkSession.sparkContext.broadcast(model)  # at most 2 ** BITS weights
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(shipped.value)
