@@ -310,9 +310,9 @@ class _Lists:
         key = columns[0]
         if not len(key):
             return
-        # most postings are alone; the last row may go on in the next batch
+        # most postings are alone; the last row may go on in the next batch, and a salted list in other partitions
         same = key[1:] == key[:-1]
-        met = np.r_[False, same] | np.r_[same, not last]
+        met = np.r_[False, same] | np.r_[same, not last] | (columns[5] > 0)
         met[0] |= key[0] == self.long_key
         key, node, n, place, code, spread = (x[met] for x in columns)
         fresh = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])][: len(key)]

@@ -3,10 +3,12 @@
 import hashlib
 import random
 import re
+import types
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer, models, normalizers
 
@@ -203,6 +205,38 @@ def test_near_copy_groups_and_common_passages(spark, boundary):
     assert sorted(map(tuple, got.collect())) == components(table)
 
 
+@pytest.mark.parametrize("boundary", [1, 64])
+def test_near_copies_of_hot_passages_meet_in_many_partitions(boundary):
+    """All shingles are hot, so lists are salted: every linked pair has to come out, as a pair or in a list."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows = []
+    for size in (2, 2, 3, 5, 9, 17, 30):
+        passage = [word() for _ in range(30)]
+        rows += [" ".join([*passage, word()]) for _ in range(size)]
+    sets = list(shingle_join.Shingler().sets(pa.array(rows)))
+    nodes = [shingle_join.node_of(s) for s in sets]
+    hot = types.SimpleNamespace(value=np.full(1 << (shingle_join.MAP_BITS - 6), 2**64 - 1, np.uint64))
+    posted = pa.Table.from_batches(shingle_join._poster(hot, boundary)([pa.RecordBatch.from_pydict({"text": rows})])).to_pandas()
+    assert (posted["spread"] > 0).all()
+    pairs, lists = set(), {}
+    for _, part in posted.groupby((posted["key"] % 7 * 33 + posted["spread"]) % 211):
+        part = part.sort_values(["key", "node"])
+        for r in pa.Table.from_batches(shingle_join._meet([pa.RecordBatch.from_pandas(part, shingle_join._POSTINGS, preserve_index=False)]), shingle_join._MET).to_pylist():
+            if r["b"] is None:
+                lists.setdefault(r["key"], set()).add(r["a"])
+            else:
+                pairs.add(frozenset((r["a"], r["b"])))
+    linked = 0
+    for i, a in enumerate(sets):
+        for j in range(i):
+            shared = len(np.intersect1d(a, sets[j]))
+            if nodes[i] != nodes[j] and 100 * shared >= 80 * (len(a) + len(sets[j]) - shared):
+                linked += 1
+                assert {nodes[i], nodes[j]} in pairs or any({nodes[i], nodes[j]} <= x for x in lists.values()), (i, j)
+    assert linked >= 600
+
+
 def test_boundary_follows_costs():
     assert shingle_join.choose_boundary({60: 10}, 0.0) < 60
     assert shingle_join.choose_boundary({10: 10}, 50.0) >= 10
