@@ -12,6 +12,8 @@ raking touches only the table of cells; the last pass joins documents to cells w
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,10 @@ from .common import text_or_empty, written
 DIMENSIONS = ("source", "lang", "topic")
 #: Target shares are the natural shares to this power, made to sum to 1: 1 keeps the mix, 0 levels it.
 ALPHA = 0.8
+#: Sweeps of the SQL, which ``by_sql`` follows.
 SWEEPS, TOLERANCE = 24, 1e-10
+#: Sweeps at most otherwise, and the part of the largest miss that two times four sweeps have to take off.
+MOST_SWEEPS, STALL = 240, 1e-3
 SEED = "mix-1"
 #: Stands for a null source or language.
 UNKNOWN = "(none)"
@@ -57,36 +62,43 @@ def tempered_targets(cells: DataFrame, dimension: str, alpha: float = ALPHA) ->
     return sums.select("value", (F.col("s") / F.lit(total or 1.0)).alias("share"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS, tolerance: float = TOLERANCE) -> DataFrame:
-    """``cells`` (source, lang, topic, tokens) with ``weight``, whose marginals follow ``targets``.
+def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = MOST_SWEEPS, tolerance: float = TOLERANCE, stall: float | None = STALL) -> DataFrame:
+    """``cells`` (source, lang, topic, tokens) with ``weight``, whose marginals follow ``targets``, and ``miss``.
 
-    A value without a target gets weight 0; cells of 0 tokens keep 0. Targets no table can meet (they
-    ask for cells that don't exist) end with the last weights once four sweeps don't halve the largest
-    miss, or after ``sweeps``.
+    A value without a target gets weight 0; cells of 0 tokens keep 0. Raking ends when the largest relative
+    miss of a marginal is within ``tolerance``, when it stalls (twice in a row four sweeps don't lower it by
+    the part ``stall``; None: never), as with targets no table can meet, or after ``sweeps``. The miss that
+    remains is in every row, and logged when it is beyond ``tolerance``.
     """
     targets = {d: written(t, f"mix-target-{d}") for d, t in targets.items()}
     weighted = written(cells.withColumn("weight", F.col("tokens").cast("double")), "mix-cells")
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
-    miss = float("inf")
+    if not total:
+        return weighted.withColumn("miss", F.lit(0.0))
+    miss, least, idle = float("inf"), float("inf"), 0
     for sweep in range(1, sweeps + 1):
         for d, target in targets.items():
             sums = weighted.groupBy(F.col(d).alias("value")).agg(F.sum("weight").alias("s"))
             scale = sums.join(target, "value", "left").select("value", F.when(F.col("s") > 0, total * F.coalesce("share", F.lit(0.0)) / F.col("s")).otherwise(0.0).alias("scale"))
             weighted = weighted.join(scale, weighted[d] == scale["value"]).withColumn("weight", F.col("weight") * F.col("scale")).drop("value", "scale")
         weighted = written(weighted, "mix-cells")
-        if sweep % 4 == 0:
-            before, miss = miss, _error(weighted, targets, total)
-            if miss <= tolerance or miss > before / 2:
+        if sweep % 4 == 0 or sweep == sweeps:
+            miss = _error(weighted, targets, total)
+            idle = idle + 1 if stall is not None and miss > least * (1 - stall) else 0
+            least = min(least, miss)
+            if miss <= tolerance or idle == 2:
                 break
-    return weighted
+    if miss > tolerance:
+        logging.getLogger(__name__).warning("raking ended after %d sweeps; a marginal misses its target by %.2g of it", sweep, miss)
+    return weighted.withColumn("miss", F.lit(miss))
 
 
 def _error(weighted: DataFrame, targets: dict[str, DataFrame], total: float) -> float:
-    """The largest relative miss of a marginal."""
+    """The largest relative miss of a marginal; a target without any cell is missed by all of it."""
     worst = 0.0
     for d, target in targets.items():
         sums = weighted.groupBy(F.col(d).alias("value")).agg(F.sum("weight").alias("s"))
-        miss = sums.join(target, "value").filter("share > 0").agg(F.max(F.abs(F.col("s") / (F.col("share") * total) - 1)))
+        miss = target.filter("share > 0").join(sums, "value", "left").agg(F.max(F.abs(F.coalesce("s", F.lit(0.0)) / (F.col("share") * total) - 1)))
         worst = max(worst, miss.first()[0] or 0.0)
     return worst
 
@@ -97,24 +109,26 @@ def uniform(seed: str = SEED) -> Column:
     return F.conv(digits, 16, 10).cast("long") / F.lit(float(2**52))
 
 
-def cell_probabilities(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """(source, lang, topic, probability, scale) of the cells of ``docs``."""
+def cell_probabilities(docs: DataFrame, targets: dict[str, DataFrame] | None = None, by_sql: bool = False) -> DataFrame:
+    """(source, lang, topic, probability, scale, miss) of the cells of ``docs``."""
     cells = written(_celled(docs).groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "mix-sums")
     targets = targets or {d: tempered_targets(cells, d) for d in DIMENSIONS}
     per_token = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
-    raked = written(rake(cells, targets).select(*DIMENSIONS, per_token.alias("scale")), "mix-scales")
+    weighted = rake(cells, targets, SWEEPS, stall=None) if by_sql else rake(cells, targets)
+    raked = written(weighted.select(*DIMENSIONS, per_token.alias("scale"), "miss"), "mix-scales")
     top = raked.agg(F.max("scale")).first()[0] or 1.0
     return written(raked.withColumn("probability", F.col("scale") / F.lit(top or 1.0)), "mix-probabilities")
 
 
-def mix_documents(docs: DataFrame, targets: dict[str, DataFrame] | None = None, seed: str = SEED) -> DataFrame:
+def mix_documents(docs: DataFrame, targets: dict[str, DataFrame] | None = None, seed: str = SEED, by_sql: bool = False) -> DataFrame:
     """doc_id, source, lang, topic, tokens, scale, probability, sampled for each row of ``docs`` (doc_id, text, source, lang).
 
     A null source or language is the value ``(none)``; a null or empty text has 0 tokens and the
     probability of its cell. Repeated rows share one draw, as do all rows of null id. A column ``topic``
-    is used if there is one; other columns are ignored. An empty table gives no rows.
+    is used if there is one; other columns are ignored. An empty table gives no rows. ``by_sql`` does what
+    ``ORACLE`` says to the letter: 24 sweeps, met or not.
     """
-    return _drawn(docs, cell_probabilities(docs, targets), seed)
+    return _drawn(docs, cell_probabilities(docs, targets, by_sql), seed)
 
 
 def _drawn(docs: DataFrame, cells: DataFrame, seed: str = SEED) -> DataFrame:

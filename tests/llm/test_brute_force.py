@@ -103,6 +103,25 @@ def test_given_targets(spark):
         assert all(abs(got[v] - s) < 1e-6 for v, s in x.items())
 
 
+def test_raking_goes_on_while_it_gets_closer(spark):
+    """Source and language nearly one: each sweep takes off a tenth of the miss or so."""
+    cells = spark.createDataFrame([("s0", "en", "t", 1000), ("s0", "de", "t", 8), ("s1", "en", "t", 8), ("s1", "de", "t", 600)], "source string, lang string, topic string, tokens long")
+    share = lambda d: spark.createDataFrame(list(d.items()), "value string, share double")
+    want = {"source": {"s0": 0.5, "s1": 0.5}, "lang": {"en": 0.6, "de": 0.4}, "topic": {"t": 1.0}}
+    out = mixing.rake(cells, {d: share(x) for d, x in want.items()}, tolerance=5e-3).toPandas()
+    for d, x in want.items():
+        got = (out.groupby(d)["weight"].sum() / out["weight"].sum()).to_dict()
+        assert all(abs(got[v] / s - 1) <= 5e-3 for v, s in x.items())
+    assert (out["miss"] <= 5e-3).all()
+
+
+def test_targets_no_table_meets_are_marked(spark):
+    cells = spark.createDataFrame([("s0", "en", "t", 10), ("s1", "de", "t", 10)], "source string, lang string, topic string, tokens long")
+    share = lambda d: spark.createDataFrame(list(d.items()), "value string, share double")
+    out = mixing.rake(cells, {"source": share({"s0": 0.5, "s1": 0.5}), "lang": share({"en": 0.6, "de": 0.4}), "topic": share({"t": 1.0})}).toPandas()
+    assert abs(out["miss"] - 0.2).max() < 1e-9
+
+
 # --- quality
 
 def test_held_out_rows(spark):
