@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import written
@@ -294,9 +294,16 @@ def _can_link(na, pa_, nb, pb):
     All that two sets share lies from their first meeting on. In a later list of the same pair the bound
     is too low, but a pair that links passes in the list of its first meeting.
     """
+    na, pa_, nb, pb = (np.asarray(x, np.int64) for x in (na, pa_, nb, pb))
     return 180 * np.minimum(na - pa_, nb - pb) >= 80 * (na + nb)
 
 
+def _columns_can_link(na: str, pa_: str, nb: str, pb: str) -> Column:
+    """The same rule on columns."""
+    na, pa_, nb, pb = (F.col(x).cast("long") for x in (na, pa_, nb, pb))
+    return 180 * F.least(na - pa_, nb - pb) >= 80 * (na + nb)
+
+
 class _Lists:
     """Consumes postings sorted by key and node: key, node, n, place, code, spread."""
 
@@ -492,7 +499,7 @@ def _rounds(lists: DataFrame, comps: DataFrame, pairs: DataFrame, sets: DataFram
         pivot = F.min(F.struct(rank.alias("rank"), F.col("node").alias("p"), F.col("n").alias("pn"), F.col("place").alias("pplace"), F.col("code").alias("pcode"), F.col("comp").alias("pcomp"))).alias("pivot")
         pivots = rows.groupBy("key", F.pmod(rank, F.lit(pivots_per_list)).alias("part")).agg(pivot).select("key", "pivot.*")
         pivots = written(pivots, "jaccard-pivots")
-        match = (F.col("l.key") == F.col("r.key")) & (F.col("l.comp") != F.col("r.pcomp")) & ~((F.col("code") == SMALL) & (F.col("pcode") == SMALL)) & (180 * F.least(F.col("n") - F.col("place"), F.col("pn") - F.col("pplace")) >= 80 * (F.col("n") + F.col("pn")))
+        match = (F.col("l.key") == F.col("r.key")) & (F.col("l.comp") != F.col("r.pcomp")) & ~((F.col("code") == SMALL) & (F.col("pcode") == SMALL)) & _columns_can_link("n", "place", "pn", "pplace")
         met = rows.alias("l").join(pivots.alias("r"), match).select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
         met = written(met.join(seen, ["a", "b"], "left_anti"), "jaccard-met")
         comps = _merged(comps, compare(met, sets))

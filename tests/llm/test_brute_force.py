@@ -256,6 +256,13 @@ def test_near_copies_of_hot_passages_meet_in_many_partitions(boundary):
     assert linked >= 600
 
 
+def test_bound_of_the_longest_texts(spark):
+    n, place = np.array([12_000_000], np.int32), np.array([0], np.int32)
+    assert shingle_join._can_link(n, place, n, place).all()
+    row = spark.createDataFrame([(12_000_000, 0)], "n int, place int")
+    assert row.select(shingle_join._columns_can_link("n", "place", "n", "place")).first()[0]
+
+
 def test_boundary_follows_costs():
     assert shingle_join.choose_boundary({60: 10}, 0.0) < 60
     assert shingle_join.choose_boundary({10: 10}, 50.0) >= 10
