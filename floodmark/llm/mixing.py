@@ -2,8 +2,11 @@
 
 Tokens are summed into cells of source, language and topic. Cell weights are raked: scaled to the target
 share of each source, then of each language, then of each topic, again and again, until all marginals
-hold. A document is sampled with a probability in proportion to its cell's weight per token, the largest
-being 1, so the expected tokens of each marginal meet its target. Everything is DataFrame code.
+hold. A document is sampled with a probability in proportion to its cell's weight per token, so the
+expected tokens of each marginal meet its target. The rate is set by the cells that hold all but ``SPARE``
+of the target tokens: the neediest of them is taken whole. So are the needier cells beyond, which then fall
+short of targets by at most ``SPARE`` of the tokens, in place of a few rows setting the rate of all others.
+Everything is DataFrame code.
 
 Scale: one pass sums the tokens with partial sums on the map side, so a hot source costs nothing more;
 raking touches only the table of cells; the last pass joins documents to cells without moving texts
@@ -26,6 +29,10 @@ ALPHA = 0.8
 SWEEPS, TOLERANCE = 24, 1e-10
 #: Sweeps at most otherwise, and the part of the largest miss that two times four sweeps have to take off.
 MOST_SWEEPS, STALL = 240, 1e-3
+#: Cells that need most and together hold at most this share of the target tokens don't set the rate.
+SPARE = 0.01
+#: Steps of a doubling in which scales are counted for that.
+STEPS = 64
 SEED = "mix-1"
 #: Stands for a null source or language.
 UNKNOWN = "(none)"
@@ -115,9 +122,24 @@ def cell_probabilities(docs: DataFrame, targets: dict[str, DataFrame] | None = N
     targets = targets or {d: tempered_targets(cells, d) for d in DIMENSIONS}
     per_token = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
     weighted = rake(cells, targets, SWEEPS, stall=None) if by_sql else rake(cells, targets)
-    raked = written(weighted.select(*DIMENSIONS, per_token.alias("scale"), "miss"), "mix-scales")
-    top = raked.agg(F.max("scale")).first()[0] or 1.0
-    return written(raked.withColumn("probability", F.col("scale") / F.lit(top or 1.0)), "mix-probabilities")
+    raked = written(weighted.select(*DIMENSIONS, "weight", per_token.alias("scale"), "miss"), "mix-scales")
+    top = full_scale(raked, 0.0 if by_sql else SPARE)
+    return written(raked.drop("weight").withColumn("probability", F.least(F.lit(1.0), F.col("scale") / F.lit(top))), "mix-probabilities")
+
+
+def full_scale(raked: DataFrame, spare: float) -> float:
+    """The scale that gets probability 1: the largest once cells of at most ``spare`` of all weight are left out.
+
+    Collects a row per step of the scales, however many cells there are.
+    """
+    step = F.floor(F.log2("scale") * STEPS).alias("step")
+    steps = raked.filter("scale > 0").groupBy(step).agg(F.sum("weight").alias("weight"), F.max("scale").alias("top")).orderBy(F.desc("step")).collect()
+    left = spare * sum(r["weight"] for r in steps)
+    for r in steps:
+        left -= r["weight"]
+        if left < 0:
+            return r["top"]
+    return 1.0
 
 
 def mix_documents(docs: DataFrame, targets: dict[str, DataFrame] | None = None, seed: str = SEED, by_sql: bool = False) -> DataFrame:
@@ -126,7 +148,7 @@ def mix_documents(docs: DataFrame, targets: dict[str, DataFrame] | None = None,
     A null source or language is the value ``(none)``; a null or empty text has 0 tokens and the
     probability of its cell. Repeated rows share one draw, as do all rows of null id. A column ``topic``
     is used if there is one; other columns are ignored. An empty table gives no rows. ``by_sql`` does what
-    ``ORACLE`` says to the letter: 24 sweeps, met or not.
+    ``ORACLE`` says to the letter: 24 sweeps, met or not, and probability 1 for the neediest cell alone.
     """
     return _drawn(docs, cell_probabilities(docs, targets, by_sql), seed)
 

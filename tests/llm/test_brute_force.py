@@ -122,6 +122,14 @@ def test_targets_no_table_meets_are_marked(spark):
     assert abs(out["miss"] - 0.2).max() < 1e-9
 
 
+def test_one_rare_row_does_not_set_the_rate(spark):
+    rows = [(i, "w " * 50, "en" if i % 2 else "de", f"s{i % 3}", "t") for i in range(20_000)] + [(-1, "w", "xx", "rare", "odd")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, topic string").coalesce(1)
+    cells = {(r.source, r.lang): r.probability for r in mixing.cell_probabilities(docs).collect()}
+    assert cells["rare", "xx"] == 1
+    assert all(p > 0.9 for p in cells.values())
+
+
 # --- quality
 
 def test_held_out_rows(spark):
