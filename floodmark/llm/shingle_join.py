@@ -13,12 +13,20 @@ order puts shingles that many documents hold last, so passages shared by many do
 which these are comes from counts over all tasks, kept in a bitmap of fixed size. The order only has to
 be the same for all documents: a crowded bitmap costs time and never a link.
 
-Lists up to ``SHORT`` nodes give all their pairs. Longer ones, which are groups of near copies, are
-resolved in rounds: some pivots are compared with all nodes of the list that are not yet in the same
-component, then leave the list; rounds go on, with four times the pivots each, until no list holds two
-components. No list is ever gathered in one task or expanded into all pairs unless nothing in it links.
-Pairs pass an upper bound from the places where they meet, and another from bucket counts, before their
-sets are compared.
+Lists up to ``SHORT`` nodes give all their pairs. Of a longer one, which is a group of near copies, the
+node that meets it earliest in its order (that with the fewest rare shingles) is compared with all others.
+What is then left of a list are pairs of different components. While these are many for the rows that
+hold them and the last such round lowered them, another round takes another node of each list; then lists
+are dealt out in blocks of bounded size, a task looks at the pairs between two blocks, and only pairs
+whose bounds leave room for a link are handed on.
+
+A pair has to pass two bounds before its sets are compared: one from the places where it meets, one from
+parity sketches. A sketch has a bit for each of ``SKETCH`` buckets, the parity of the shingles in it, so
+two sketches differ in at most as many bits as the sets differ in shingles, and linked sets differ in at
+most a ninth of the sum of their sizes. Both are exact: no link is lost.
+
+Words, shingles and sets are compared by 64-bit hashes. A word's hash mixes its bytes eight by eight, a
+set's hash has 64 more bits beside it, and sets that share the first but not the second are told apart.
 """
 
 from __future__ import annotations
@@ -27,21 +35,22 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import without, written
 
 WIDTH = 5
 #: Shingles held by at least so many documents, as far as tasks see them twice, are put last.
 FREQUENT = 16
 #: Lists of at most so many nodes give all their pairs at once.
 SHORT = 16
-#: Bits of the bitmaps of frequent shingles and of candidate ids: 2 MB each.
-MAP_BITS = 24
+#: Bits of the bitmaps of frequent shingles and of candidate ids, as a power of two: 16 MB each at most.
+MOST_MAP_BITS = 27
+#: Bits of such a map for each entry. A map of frequent shingles takes only the most frequent ones, if need be.
+ROOM = 8
 #: Small sets have at most so many shingles, whatever the costs; beyond it subsets are never cheaper.
 LARGEST_BOUNDARY = 64
 #: Shingles that a task counts at a time.
@@ -50,7 +59,12 @@ COUNTED = 1_000_000
 HELD = 500_000
 #: Salts that spread the lists of frequent shingles over tasks.
 SALTS = 32
-BUCKETS = 128
+#: Bits of a parity sketch.
+SKETCH = 2048
+#: Rows of a long list in a block; a task compares two blocks at a time.
+BLOCK = 4096
+#: Pairs of a round's lists for each of their rows from which another round of single nodes is worth it.
+PAIRS_A_ROW = 2_000
 
 #: Bytes of text hashed at a time.
 CHUNK = 1 << 19
@@ -67,42 +81,46 @@ _MIX = _numbers(b"mix", WIDTH + 4) | np.uint64(1)
 _SHIFT = np.uint64(29)
 LARGE, SMALL, SUBSET = 0, 1, 2
 
-#: A number for each byte, the same for A-Z and a-z; and which bytes are blanks.
-_BYTES = _numbers(b"byte", 256)
-_BYTES[ord("A") : ord("Z") + 1] = _BYTES[ord("a") : ord("z") + 1]
+#: Lower case of each byte (A-Z alone), and which bytes are blanks.
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
+#: What to keep of eight bytes of which so many belong to the word.
+_FIRST_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 256
 
 
 class Shingler:
     """Shingle sets of many texts at once, by array operations over their UTF-8 bytes.
 
-    A word's hash is a polynomial over its bytes, computed with powers by place in the chunk and divided
-    by the power of its start; a shingle's hash mixes five word hashes.
+    A word's hash takes in its bytes eight by eight; a shingle's hash mixes five word hashes.
     """
 
-    def __init__(self):
-        self._powers(CHUNK)
-
-    def _powers(self, size: int) -> None:
-        base = int(_MIX[WIDTH])
-        self.up = np.multiply.accumulate(np.full(size, base, np.uint64))
-        self.down = np.multiply.accumulate(np.full(size, pow(base, -1, 1 << 64), np.uint64))
-
     def words(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts and hashes of the words of ``data``, which ends with a blank."""
-        if len(data) > len(self.up):
-            self._powers(len(data))
         inside = ~_BLANK[data]
         edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
         edges = np.r_[0, edges] if inside[0] else edges
-        starts = edges[::2]
+        starts, sizes = edges[::2], edges[1::2] - edges[::2]
         if not len(starts):
             return starts, np.array([], np.uint64)
-        h = np.add.reduceat(_BYTES[data] * self.up[: len(data)], edges)[::2] * self.down[starts]
-        h ^= h >> _SHIFT
-        h = (h + (edges[1::2] - starts).astype(np.uint64)) * _MIX[WIDTH + 1]
-        return starts, h ^ (h >> np.uint64(32))
+        low = np.concatenate([_LOWER[data], np.zeros(8, np.uint8)])
+        eights = np.ndarray((len(data),), "<u8", low, strides=(1,))
+        h = sizes.astype(np.uint64) * _MIX[WIDTH]
+        some, left, at = slice(None), np.minimum(sizes, LONG_WORD), starts
+        while len(at):
+            x = eights[at] & _FIRST_BYTES[np.minimum(left, 8)]
+            g = (h[some] ^ x) * _MIX[WIDTH + 1]
+            g = (g ^ (g >> np.uint64(32))) * _MIX[WIDTH + 2]
+            h[some] = g ^ (g >> _SHIFT)
+            more = np.flatnonzero(left > 8)
+            some = more if isinstance(some, slice) else some[more]
+            left, at = left[more] - 8, at[more] + 8
+        for k in np.flatnonzero(sizes > LONG_WORD).tolist():
+            h[k] = xxhash.xxh3_64_intdigest(low[starts[k] : starts[k] + sizes[k]].tobytes())
+        return starts, h
 
     def sets(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """For each text (null: empty) its distinct shingle hashes, ascending."""
@@ -151,8 +169,14 @@ def least_overlap(n: int) -> int:
     return -(-8 * n // 10)
 
 
-def node_of(shingles: np.ndarray) -> int:
-    return xxhash.xxh64_intdigest(shingles.tobytes()) - 2**63
+def node_of(shingles: np.ndarray, bits: int = 64, clashes: frozenset[int] = frozenset()) -> tuple[int, int]:
+    """The number of a set, from its first ``bits`` hash bits, and 64 hash bits beside it.
+
+    Sets that ``clashes`` names are numbered by the latter.
+    """
+    whole = xxhash.xxh3_128_intdigest(shingles.tobytes())
+    node, beside = (whole >> (128 - bits)) - (1 << (bits - 1)), (whole & _MASK) - 2**63
+    return beside if node in clashes else node, beside
 
 
 def _signed(a: np.ndarray) -> np.ndarray:
@@ -161,8 +185,8 @@ def _signed(a: np.ndarray) -> np.ndarray:
 
 # --- first pass: sets, and shingles that a task sees more than once
 
-FIRST = "doc_id long, n int, node long, key long, seen long"
-_FIRST = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("key", pa.int64()), ("seen", pa.int64())])
+FIRST = "doc_id long, text_hash long, n int, node long, beside long, key long, seen long"
+_FIRST = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("beside", pa.int64()), ("key", pa.int64()), ("seen", pa.int64())])
 
 
 def _batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
@@ -171,36 +195,45 @@ def _batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in schema], schema=schema)
 
 
-def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    shingler, gathered, size, nodes = Shingler(), [], 0, set()
+def _first_pass(node_bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, gathered, size, nodes = Shingler(), [], 0, set()
 
-    def counted() -> pa.RecordBatch:
-        key = np.sort(np.concatenate(gathered))
-        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        seen = np.diff(np.r_[starts, len(key)])
-        twice = seen > 1
-        return _batch(_FIRST, key=_signed(key[starts[twice]]), seen=seen[twice])
+        def counted() -> pa.RecordBatch:
+            key = np.sort(np.concatenate(gathered))
+            starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            seen = np.diff(np.r_[starts, len(key)])
+            twice = seen > 1
+            return _batch(_FIRST, key=_signed(key[starts[twice]]), seen=seen[twice])
 
-    for b in batches:
-        n, found = [], []
-        for s in shingler.sets(b.column("text")):
-            node = node_of(s)
-            n.append(len(s))
-            found.append(node)
-            if node not in nodes and len(s) > 1:
-                nodes.add(node)
-                gathered.append(s)
-                size += len(s)
-            if size >= COUNTED:
-                yield counted()
-                gathered, size, nodes = [], 0, set()
-        yield _batch(_FIRST, doc_id=b.column("doc_id"), n=np.array(n, np.int32), node=np.array(found, np.int64))
-        pa.default_memory_pool().release_unused()
-    if gathered:
-        yield counted()
-
-
-def bitmap(keys: DataFrame, column: str, bits: int = MAP_BITS) -> np.ndarray:
+        for b in batches:
+            n, found, beside = [], [], []
+            for s in shingler.sets(b.column("text")):
+                node, other = node_of(s, node_bits)
+                n.append(len(s))
+                found.append(node)
+                beside.append(other)
+                if other not in nodes and len(s) > 1:
+                    nodes.add(other)
+                    gathered.append(s)
+                    size += len(s)
+                if size >= COUNTED:
+                    yield counted()
+                    gathered, size, nodes = [], 0, set()
+            yield _batch(_FIRST, doc_id=b.column("doc_id"), text_hash=b.column("text_hash"), n=np.array(n, np.int32), node=np.array(found, np.int64), beside=np.array(beside, np.int64))
+            pa.default_memory_pool().release_unused()
+        if gathered:
+            yield counted()
+
+    return run
+
+
+def map_bits(entries: int) -> int:
+    """The size of a bitmap of so many entries, as a power of two."""
+    return min(MOST_MAP_BITS, max(16, (ROOM * entries).bit_length()))
+
+
+def bitmap(keys: DataFrame, column: str, bits: int) -> np.ndarray:
     """A bitmap of the top bits of ``column``, made of at most 2 ** (bits - 6) collected words."""
     place = F.shiftrightunsigned(column, 64 - bits)
     one = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(`{column}`, {64 - bits}) & 63 as int))")
@@ -210,11 +243,22 @@ def bitmap(keys: DataFrame, column: str, bits: int = MAP_BITS) -> np.ndarray:
     return out
 
 
-def in_bitmap(values: np.ndarray, found: np.ndarray, bits: int = MAP_BITS) -> np.ndarray:
-    place = values >> np.uint64(64 - bits)
+def in_bitmap(values: np.ndarray, found: np.ndarray) -> np.ndarray:
+    place = values >> np.uint64(64 - (len(found).bit_length() + 5))
     return (found[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) > 0
 
 
+def frequent_from(steps: dict[int, int], room: int) -> int:
+    """The count from which a shingle is frequent: ``FREQUENT`` times a power of two, so that at most ``room`` are.
+
+    ``steps`` has the number of shingles by the bit length of their count.
+    """
+    least = FREQUENT.bit_length()
+    while sum(c for k, c in steps.items() if k >= least) > room:
+        least += 1
+    return 1 << (least - 1)
+
+
 def choose_boundary(sizes: dict[int, int], partners: float, largest: int = LARGEST_BOUNDARY) -> int:
     """The largest size of a small set, at the lowest cost over the given counts of sizes.
 
@@ -241,9 +285,12 @@ POSTINGS = "key long, node long, n int, place int, code byte, spread byte"
 _POSTINGS = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("place", pa.int32()), ("code", pa.int8()), ("spread", pa.int8())])
 
 
-def _poster(shared_map, boundary: int):
+def _poster(shared, boundary: int, node_bits: int = 64):
+    """``shared`` holds the map of frequent shingles and the clashing nodes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, done, often = Shingler(), set(), shared_map.value
+        shingler, done = Shingler(), set()
+        often, clashes = shared.value
         least = least_overlap(boundary + 1)
         for b in batches:
             keys, hots, places, heads = [], [], [], []  # heads: node, n, code, number of keys
@@ -251,7 +298,7 @@ def _poster(shared_map, boundary: int):
                 n = len(s)
                 if n < 2:  # links with equal sets only, which are one node
                     continue
-                node = node_of(s)
+                node, _ = node_of(s, node_bits, clashes)
                 if node in done:
                     continue
                 done.add(node)
@@ -373,80 +420,103 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # --- third pass: the sets of candidates, and comparing pairs
 
-SETS = "node long, n int, counts binary, shingles binary"
-_SETS = pa.schema([("node", pa.int64()), ("n", pa.int32()), ("counts", pa.binary()), ("shingles", pa.binary())])
+SETS = "node long, n int, sketch binary, shingles binary"
+_SETS = pa.schema([("node", pa.int64()), ("n", pa.int32()), ("sketch", pa.binary()), ("shingles", pa.binary())])
+
+
+def sketch_of(shingles: np.ndarray) -> np.ndarray:
+    """The parity of the shingles in each bucket, as bytes of bits."""
+    bucket = (shingles >> np.uint64(40)).astype(np.int64) % SKETCH
+    return np.packbits((np.bincount(bucket, minlength=SKETCH) & 1).astype(np.uint8))
 
 
-def _setter(shared_map):
+def _setter(shared, node_bits: int = 64):
+    """``shared`` holds the map of chosen documents and the clashing nodes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, done = Shingler(), set()
+        found, clashes = shared.value
         for b in batches:
-            chosen = in_bitmap(b.column("place").to_numpy().view(np.uint64), shared_map.value)
-            nodes, sizes, counts, whole, held = [], [], [], [], 0
+            chosen = in_bitmap(b.column("place").to_numpy().view(np.uint64), found)
+            nodes, sizes, sketches, whole, held = [], [], [], [], 0
             for s in shingler.sets(b.column("text").filter(pa.array(chosen))):
-                node = node_of(s)
+                node, _ = node_of(s, node_bits, clashes)
                 if node in done or len(s) < 2:
                     continue
                 done.add(node)
                 nodes.append(node)
                 sizes.append(len(s))
-                counts.append(np.bincount((s >> np.uint64(57)).astype(np.int64), minlength=BUCKETS).astype("<u2").tobytes() if len(s) < 1 << 16 else b"")
+                sketches.append(sketch_of(s).tobytes())
                 whole.append(s.tobytes())
                 held += len(s)
                 if held >= HELD:
-                    yield _batch(_SETS, node=nodes, n=sizes, counts=counts, shingles=whole)
-                    nodes, sizes, counts, whole, held = [], [], [], [], 0
+                    yield _batch(_SETS, node=nodes, n=sizes, sketch=sketches, shingles=whole)
+                    nodes, sizes, sketches, whole, held = [], [], [], [], 0
             if nodes:
-                yield _batch(_SETS, node=nodes, n=sizes, counts=counts, shingles=whole)
+                yield _batch(_SETS, node=nodes, n=sizes, sketch=sketches, shingles=whole)
             pa.default_memory_pool().release_unused()
 
     return run
 
 
-def _bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs whose bucket counts leave room for enough overlap; the largest sets have no counts and pass."""
+def _bits(column: pa.Array) -> np.ndarray:
+    """The sketches of a column, a row of 64-bit words each."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
+
+
+def _near(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
+    """Whether sketches leave room for a link: linked sets differ in at most (nx + ny) / 9 shingles."""
+    return 9 * np.bitwise_count(x ^ y).sum(1, dtype=np.int64) <= nx.astype(np.int64) + ny
+
+
+def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        known = ((b["ca"].str.len() > 0) & (b["cb"].str.len() > 0)).to_numpy()
-        ok = ~known
-        if known.any():
-            ca = np.frombuffer(b"".join(b.loc[known, "ca"]), "<u2").reshape(-1, BUCKETS)
-            cb = np.frombuffer(b"".join(b.loc[known, "cb"]), "<u2").reshape(-1, BUCKETS)
-            most = np.minimum(ca, cb).sum(1, dtype=np.int64)
-            total = ca.sum(1, dtype=np.int64) + cb.sum(1, dtype=np.int64)
-            ok[known] = 100 * most >= 80 * (total - most)
-        yield b.loc[ok, ["a", "b"]]
+        ok = _near(_bits(b.column("ka")), _bits(b.column("kb")), b.column("na").to_numpy(), b.column("nb").to_numpy())
+        yield b.select(["a", "b"]).filter(pa.array(ok))
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def whole(column: pa.Array) -> tuple[list[int], np.ndarray]:
+        _, offsets, data = column.buffers()
+        ends = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+        return ends.tolist(), np.frombuffer(data, np.uint8)
+
     for b in batches:
-        keep = []
-        for x, y in zip(b.column("sa"), b.column("sb"), strict=True):
-            both = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)])
+        if not b.num_rows:
+            continue
+        keep = np.zeros(b.num_rows, bool)
+        (x, left), (y, right) = whole(b.column("sa")), whole(b.column("sb"))
+        for k in range(b.num_rows):
+            both = np.concatenate([left[x[k] : x[k + 1]], right[y[k] : y[k + 1]]]).view(np.uint64)
             both.sort()
-            shared = int((both[1:] == both[:-1]).sum())
-            keep.append(100 * shared >= 80 * (len(both) - shared))
-        yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            shared = np.count_nonzero(both[1:] == both[:-1])
+            keep[k] = 100 * shared >= 80 * (len(both) - shared)
+        yield b.select(["a", "b"]).filter(pa.array(keep))
 
 
 #: The nodes of pairs are broadcast up to so many, to leave other sets out of the shuffle.
 BROADCAST_NODES = 500_000
 
 
-def _joined(pairs: DataFrame, sets: DataFrame, column: str, x: str, y: str) -> DataFrame:
-    """``pairs`` with ``column`` of both nodes."""
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    some = sets.select("node", column)
+def _joined(pairs: DataFrame, sets: DataFrame, **columns: tuple[str, str]) -> DataFrame:
+    """``pairs`` (a, b) with columns of both nodes, each by its two new names."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    some = sets.select("node", *columns)
     nodes = written(nodes, "jaccard-nodes")
     if nodes.count() <= BROADCAST_NODES:
         some = some.join(F.broadcast(nodes), "node", "left_semi")
-    side = lambda k, c: some.select(F.col("node").alias(k), F.col(column).alias(c))
-    return pairs.join(side("a", x), "a").join(side("b", y), "b")
+    side = lambda k, which: some.select(F.col("node").alias(k), *(F.col(c).alias(names[which]) for c, names in columns.items()))
+    return pairs.join(side("a", 0), "a").join(side("b", 1), "b")
+
 
+def bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The ones of ``pairs`` (a, b) whose sketches leave room for a link."""
+    return written(_joined(pairs, sets, n=("na", "nb"), sketch=("ka", "kb")).mapInArrow(_bounded, "a long, b long"), "jaccard-bounded")
 
-def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+
+def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The linked ones of ``pairs`` (a, b)."""
-    bounded = written(_joined(pairs, sets, "counts", "ca", "cb").mapInPandas(_bounded, "a long, b long"), "jaccard-bounded")
-    return written(_joined(bounded, sets, "shingles", "sa", "sb").mapInArrow(_linked, "a long, b long").distinct(), "jaccard-links")
+    return written(_joined(pairs, sets, shingles=("sa", "sb")).mapInArrow(_linked, "a long, b long").distinct(), "jaccard-links")
 
 
 # --- components
@@ -485,68 +555,168 @@ def _merged(comps: DataFrame | None, links: DataFrame) -> DataFrame:
     return written(every.join(roots, F.col("comp") == F.col("old"), "left").select("node", F.coalesce("new", "comp").alias("comp")), "jaccard-comps")
 
 
-def _rounds(lists: DataFrame, comps: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Components after the long lists (key, node, n, place, code) are resolved."""
-    pivots_per_list, seen = 1, pairs
-    while True:
-        lab = comps.select("node", "comp")
-        rows = lists.join(lab, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        mixed = rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key")
-        rows = written(rows.join(mixed, "key", "left_semi"), "jaccard-lists")
-        if rows.isEmpty():
-            return comps
-        rank = F.xxhash64("node", F.lit(7))
-        pivot = F.min(F.struct(rank.alias("rank"), F.col("node").alias("p"), F.col("n").alias("pn"), F.col("place").alias("pplace"), F.col("code").alias("pcode"), F.col("comp").alias("pcomp"))).alias("pivot")
-        pivots = rows.groupBy("key", F.pmod(rank, F.lit(pivots_per_list)).alias("part")).agg(pivot).select("key", "pivot.*")
-        pivots = written(pivots, "jaccard-pivots")
-        match = (F.col("l.key") == F.col("r.key")) & (F.col("l.comp") != F.col("r.pcomp")) & ~((F.col("code") == SMALL) & (F.col("pcode") == SMALL)) & _columns_can_link("n", "place", "pn", "pplace")
-        met = rows.alias("l").join(pivots.alias("r"), match).select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
-        met = written(met.join(seen, ["a", "b"], "left_anti"), "jaccard-met")
-        comps = _merged(comps, compare(met, sets))
-        seen = seen.unionByName(met)
-        lists = rows.join(pivots.select("key", F.col("p").alias("node")), ["key", "node"], "left_anti").select("key", "node", "n", "place", "code")
-        pivots_per_list *= 4
+# --- what is left of long lists
+
+LEFT = "key long, i int, j int, block int, node long, n int, place int, code byte, comp long, sketch binary"
+
+
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of different components that can link, from rows sorted by key, i and j.
+
+    Where i and j differ, pairs within one block are left to its own tile.
+    """
+    held: list[pa.RecordBatch] = []
+
+    def tile(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        block, node, n, place, code, comp = (t.column(c).to_numpy() for c in ("block", "node", "n", "place", "code", "comp"))
+        bits = _bits(t.column("sketch"))
+        two = t.column("i")[0].as_py() != t.column("j")[0].as_py()
+        order = np.arange(len(node))
+        for k in range(len(node)):
+            other = order[k + 1 :]
+            ok = (comp[other] != comp[k]) & _can_link(n[k], place[k], n[other], place[other])
+            if code[k] == SMALL:
+                ok &= code[other] != SMALL
+            if two:
+                ok &= block[other] != block[k]
+            other = other[ok]
+            other = other[_near(bits[other], bits[k], n[other], n[k])] if len(other) else other
+            if len(other):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[other], node[k])), pa.array(np.maximum(node[other], node[k]))], ["a", "b"])
+
+    def whole(t: pa.Table, last: bool) -> Iterator[pa.RecordBatch]:
+        key, i, j = (t.column(c).to_numpy() for c in ("key", "i", "j"))
+        starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]) if len(key) else np.array([], np.int64)
+        ends = np.r_[starts[1:], len(key)]
+        for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
+            if b < len(key) or last:
+                yield from tile(t.slice(a, b - a).combine_chunks())
+            else:
+                held[:] = t.slice(a).to_batches()
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        t = pa.Table.from_batches([*held, b])
+        held = []
+        yield from whole(t, False)
+    if held:
+        yield from whole(pa.Table.from_batches(held), True)
+
+
+def _left(lists: DataFrame, comps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows, with comp, of lists of two components or more; and those lists with count and pairs left."""
+    rows = lists.join(comps.select("node", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    each = rows.groupBy("key", "comp").agg(F.count("*").alias("c"))
+    mixed = each.groupBy("key").agg(F.sum("c").alias("rows"), F.count("*").alias("comps"), ((F.pow(F.sum("c"), 2) - F.sum(F.col("c") * F.col("c"))) / 2).alias("pairs"))
+    mixed = written(mixed.filter("comps > 1"), "jaccard-mixed")
+    return written(rows.join(mixed.select("key"), "key", "left_semi"), "jaccard-lists"), mixed
+
+
+def _star(rows: DataFrame, among: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The node of ``among`` that each list meets earliest, and its pairs with the list's other nodes."""
+    first = F.min(F.struct(F.col("place").alias("pplace"), F.col("node").alias("p"), F.col("n").alias("pn"), F.col("code").alias("pcode"), F.col("comp").alias("pcomp")))
+    pivots = written(among.groupBy("key").agg(first.alias("pivot")).select("key", "pivot.*"), "jaccard-pivots")
+    match = (F.col("l.key") == F.col("r.key")) & (F.col("l.comp") != F.col("r.pcomp")) & ~((F.col("code") == SMALL) & (F.col("pcode") == SMALL)) & _columns_can_link("n", "place", "pn", "pplace")
+    met = rows.alias("l").join(pivots.alias("r"), match).select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
+    return pivots.select("key", "p"), met
+
+
+def _blocks(rows: DataFrame, mixed: DataFrame) -> DataFrame:
+    """Each row once for each pair of blocks of its list that its own block is in."""
+    of = F.ceil(F.col("rows") / BLOCK).cast("int")
+    dealt = rows.join(mixed.select("key", of.alias("of")), "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("of")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("of") - 1)).alias("other")
+    return dealt.select("*", other).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+
+
+def _resolve(lists: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Components of all links, from ``pairs`` of short lists and the rows of long ones (key, node, n, place, code)."""
+    rows = lists.withColumn("comp", F.col("node"))
+    used, met = _star(rows, rows)
+    comps = _merged(None, linked(bounded(pairs.unionByName(met).distinct(), sets), sets))
+    rows, mixed = _left(lists, comps)
+    work = lambda: mixed.agg(F.coalesce(F.sum("pairs"), F.lit(0.0)).alias("pairs"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
+    now, before = work(), None
+    while now["pairs"] > PAIRS_A_ROW * now["rows"] and (before is None or now["pairs"] < 0.75 * before["pairs"]):
+        taken = used.select("key", F.col("p").alias("node")).join(comps, "node", "left").select("key", F.coalesce("comp", "node").alias("comp")).distinct()
+        pivots, met = _star(rows, rows.join(taken, ["key", "comp"], "left_anti"))
+        used = written(used.unionByName(pivots), "jaccard-used")
+        comps = _merged(comps, linked(bounded(met, sets), sets))
+        (rows, mixed), before = _left(rows.drop("comp"), comps), now
+        now = work()
+    if not now["rows"]:
+        return comps
+    some = sets.select("node", "sketch").join(rows.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    left = _blocks(rows, mixed).join(some, "node").select(*(c.split()[0] for c in LEFT.split(", ")))
+    met = left.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_tiles, "a long, b long").distinct()
+    return _merged(comps, linked(written(met, "jaccard-met"), sets))
 
 
 #: Rows in an Arrow batch: texts and sets are long, and a task holds some batches at a time.
 BATCH_ROWS = 1_000
 
 
-def link_documents(docs: DataFrame, boundary: int | None = None) -> DataFrame:
+#: Bytes of an Arrow batch, for the same reason.
+BATCH_BYTES = 32 << 20
+
+
+def link_documents(docs: DataFrame, boundary: int | None = None, node_bits: int = 64) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of ``docs`` (doc_id, text).
 
     A null or empty text, or one without words, has no shingle and links with nothing: its component is
     itself. Repeated rows share node and component; a component of only null ids has a null id. Other
-    columns are ignored. ``boundary`` sets the largest small set in place of the cost rule.
+    columns are ignored. ``boundary`` sets the largest small set in place of the cost rule, ``node_bits``
+    the bits by which sets are numbered (fewer in tests of clashing numbers).
     """
-    # all Python work below is written out before this returns, so the setting can be put back
-    spark, name = docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS)
+    out = _labelled(docs, boundary, node_bits)
+    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+
+
+def _labelled(docs: DataFrame, boundary: int | None = None, node_bits: int = 64) -> DataFrame:
+    """doc_id, text_hash, n, component_id, and the component as a node, for each row of ``docs``."""
+    # all Python work below is written out before this returns, so the settings can be put back
+    spark = docs.sparkSession
+    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}
+    before = {k: spark.conf.get(k) for k in limits}
     try:
-        rows, comps = _node_components(docs, boundary)
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        rows, comps = _node_components(docs, boundary, node_bits)
     finally:
-        spark.conf.set(name, before)
-    labelled = rows.join(comps, "node", "left").select("doc_id", "n", F.coalesce("comp", "node").alias("comp"))
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    labelled = rows.join(comps, "node", "left").select("doc_id", "text_hash", "n", F.coalesce("comp", "node").alias("comp"))
     least = labelled.filter("n > 0").groupBy("comp").agg(F.min("doc_id").alias("least"))
-    out = labelled.join(least, "comp", "left")
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    return labelled.join(least, "comp", "left").withColumn("component_id", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")))
 
 
-def _node_components(docs: DataFrame, boundary: int | None) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, node) of all rows, and (node, comp) of the linked nodes."""
+def _node_components(docs: DataFrame, boundary: int | None, node_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_hash, n, node) of all rows, and (node, comp) of the linked nodes."""
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text")
-    first = written(texts.mapInArrow(_first_pass, FIRST), "jaccard-first")
-    rows = first.filter("node is not null").select("doc_id", "n", "node")
+    first = written(texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_first_pass(node_bits), FIRST), "jaccard-first")
+    rows = first.filter("node is not null").select("doc_id", "text_hash", "n", "node", "beside")
+    # sets of one number and different hashes beside it: 2 ** -65 of all pairs of sets, so a handful at most
+    two = rows.groupBy("node").agg(F.min("beside").alias("x"), F.max("beside").alias("y")).filter("x <> y")
+    clashes = frozenset(r["node"] for r in two.select("node").collect())
+    if clashes:
+        rows = rows.join(F.broadcast(spark.createDataFrame([(c,) for c in clashes], "clash long")), F.col("node") == F.col("clash"), "left")
+        rows = rows.withColumn("node", F.when(F.col("clash").isNull(), F.col("node")).otherwise(F.col("beside")))
+    rows = rows.select("doc_id", "text_hash", "n", "node")
+
     seen = first.filter("key is not null").groupBy("key").agg(F.sum("seen").alias("seen"))
-    often = bitmap(seen.filter(F.col("seen") >= FREQUENT), "key")
+    seen = written(seen, "jaccard-seen")
+    steps = {r["step"]: r["count"] for r in seen.groupBy(F.length(F.bin("seen")).alias("step")).count().collect()}
+    least = frequent_from(steps, (1 << MOST_MAP_BITS) // ROOM)
+    often = seen.filter(F.col("seen") >= least)
+    often = bitmap(often, "key", map_bits(often.count()))
     if boundary is None:
         sizes = {r["n"]: r["count"] for r in rows.filter(F.col("n").between(2, 2 * LARGEST_BOUNDARY)).groupBy("n").count().collect()}
         scanned = seen.filter(F.col("seen") < FREQUENT).agg(F.sum(F.col("seen") * (F.col("seen") - 1))).first()[0] or 0
         boundary = choose_boundary(sizes, scanned / max(1, rows.agg(F.sum("n")).first()[0] or 0))
 
-    postings = texts.mapInArrow(_poster(spark.sparkContext.broadcast(often), boundary), POSTINGS)
+    postings = texts.mapInArrow(_poster(spark.sparkContext.broadcast((often, clashes)), boundary, node_bits), POSTINGS)
     met = postings.repartition("key", "spread").sortWithinPartitions("key", "node").mapInArrow(_meet, MET)
     met = written(met, "jaccard-meetings")
     pairs = written(met.filter("b is not null").select("a", "b").distinct(), "jaccard-pairs")
@@ -554,19 +724,28 @@ def _node_components(docs: DataFrame, boundary: int | None) -> tuple[DataFrame,
     alone = lists.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x = y").select("key")
     lists = written(lists.join(alone, "key", "left_anti"), "jaccard-lists")
 
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(lists.select("node")).distinct()
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(lists.select("node")).distinct()
     owners = written(rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "jaccard-owners")
     place = F.xxhash64("doc_id")
-    chosen = spark.sparkContext.broadcast(bitmap(owners.select(place.alias("place")), "place"))
+    chosen = bitmap(owners.select(place.alias("place")), "place", map_bits(owners.count()))
     # a set may come from several tasks or by a false hit of the bitmap; equal pairs are one link all the same
-    sets = written(texts.withColumn("place", place).mapInArrow(_setter(chosen), SETS), "jaccard-sets")
-
-    return rows, _rounds(lists, _merged(None, compare(pairs, sets)), pairs, sets)
+    sets = texts.withColumn("place", place).mapInArrow(_setter(spark.sparkContext.broadcast((chosen, clashes)), node_bits), SETS)
+    return rows, _resolve(lists, pairs, written(sets, "jaccard-sets"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their component, with its columns."""
-    kept = written(link_documents(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"), "jaccard-kept")
-    return docs.join(kept.distinct(), "doc_id", "left_semi")
-
+    """The rows of ``docs`` with the smallest id of their component, with its columns.
 
+    Null ids come last, and stay where a component has no other; of rows with the same least id and
+    different texts the one with the smaller text hash stays, of repeated rows one. Texts without words
+    all stay. A row is known by id and text hash; only rows that share a bit of the map of dropped ones
+    are joined, so other texts aren't shuffled.
+    """
+    marks = written(_labelled(docs).select("doc_id", "text_hash", "n", "comp"), "jaccard-labels")
+    whole = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
+    first = marks.filter("n > 0").groupBy("comp").agg(F.min(whole).alias("first"))
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & F.col("text_hash").eqNullSafe(F.col("first.text_hash"))
+    dropped = written(marks.filter("n > 0").join(first, "comp").filter(~same).select("doc_id", "text_hash").distinct(), "jaccard-dropped")
+    out = without(docs, dropped, F.xxhash64("text"))
+    again = marks.filter("n > 0").groupBy("comp", "doc_id", "text_hash").count().filter("count > 1").join(dropped, ["doc_id", "text_hash"], "left_anti")
+    return out if again.isEmpty() else out.dropDuplicates()

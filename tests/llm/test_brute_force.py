@@ -242,8 +242,8 @@ def test_near_copies_of_hot_passages_meet_in_many_partitions(boundary):
         passage = [word() for _ in range(30)]
         rows += [" ".join([*passage, word()]) for _ in range(size)]
     sets = list(shingle_join.Shingler().sets(pa.array(rows)))
-    nodes = [shingle_join.node_of(s) for s in sets]
-    hot = types.SimpleNamespace(value=np.full(1 << (shingle_join.MAP_BITS - 6), 2**64 - 1, np.uint64))
+    nodes = [shingle_join.node_of(s)[0] for s in sets]
+    hot = types.SimpleNamespace(value=(np.full(1 << 10, 2**64 - 1, np.uint64), frozenset()))
     posted = pa.Table.from_batches(shingle_join._poster(hot, boundary)([pa.RecordBatch.from_pydict({"text": rows})])).to_pandas()
     assert (posted["spread"] > 0).all()
     pairs, lists = set(), {}
@@ -271,6 +271,96 @@ def test_bound_of_the_longest_texts(spark):
     assert row.select(shingle_join._columns_can_link("n", "place", "n", "place")).first()[0]
 
 
+@pytest.fixture
+def spread_out(spark):
+    """A setter of the number of shuffle partitions, none of which are joined together again."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {k: spark.conf.get(k) for k in names}
+
+    def to(partitions):
+        for k, v in zip(names, (str(partitions), "false"), strict=True):
+            spark.conf.set(k, v)
+
+    yield to
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("partitions", [64, 211])
+def test_salted_lists_in_many_partitions(spark, spread_out, partitions):
+    """40 texts that add a ninth word to one of eight: each links with the first, at exactly 80 %, and on hot shingles alone."""
+    first = "a b c d e f g h"
+    rows = [first, *(f"{first} end{i}" for i in range(40))]
+    spread_out(partitions)
+    table = list(enumerate(rows))
+    got = shingle_join.link_documents(spark.createDataFrame(table, "doc_id long, text string").repartition(8))
+    want = components(table)
+    assert sorted(map(tuple, got.collect())) == want and {c for _, _, c in want} == {0}
+
+
+def test_words_that_a_polynomial_confuses(spark):
+    word = "a"
+    while len(word) < 512:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(0, word), (1, other), (2, word * 3), (3, other * 3), (4, word[:255]), (5, other[:255])]
+    got = shingle_join.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i for i, _ in rows}
+
+
+def near_copies(rng, sizes, copies, edits):
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    rows = []
+    for size in sizes:
+        base = [word() for _ in range(size)]
+        for _ in range(copies):
+            copy = list(base)
+            for _ in range(rng.choice(edits)):
+                copy[rng.randrange(size)] = word()
+            rows.append(" ".join(copy))
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("node_bits", [64, 7])
+def test_groups_without_a_base(spark, node_bits, monkeypatch):
+    """Copies edited so much that most link with nothing: what single nodes leave over is compared block by block."""
+    monkeypatch.setattr(shingle_join, "BLOCK", 20)
+    table = near_copies(random.Random(21), (60, 100, 140), 90, (1, 2, 2, 3))
+    for few in (0, shingle_join.PAIRS_A_ROW):
+        monkeypatch.setattr(shingle_join, "PAIRS_A_ROW", few)
+        got = shingle_join.link_documents(spark.createDataFrame(table, "doc_id long, text string"), 1, node_bits)
+        assert sorted(map(tuple, got.collect())) == components(table)
+
+
+def test_sketches_never_refuse_a_link():
+    table = near_copies(random.Random(4), (40, 300, 3000), 30, (0, 1, 2, 3, 5, 12, 60))
+    sets = [shingle_join.Shingler().sets(pa.array([t])) for _, t in table]
+    sets = [next(iter(s)) for s in sets]
+    bits = np.array([shingle_join.sketch_of(s).view(np.uint64) for s in sets])
+    n, linked = np.array([len(s) for s in sets]), 0
+    for i, s in enumerate(sets):
+        shared = np.array([len(np.intersect1d(s, o)) for o in sets])
+        links = 100 * shared >= 80 * (n + n[i] - shared)
+        assert shingle_join._near(bits, bits[i], n, n[i])[links].all()
+        linked += int(links.sum()) - 1
+    assert linked > 500
+
+
+def test_map_of_frequent_shingles_takes_the_most_frequent():
+    assert shingle_join.frequent_from({5: 10, 6: 5}, 100) == 16
+    assert shingle_join.frequent_from({5: 10, 6: 5}, 10) == 32
+    assert shingle_join.frequent_from({}, 10) == 16
+
+
+def test_stage_with_null_and_repeated_ids(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, "only null"), (None, text), (3, text), (4, text + " more"), (5, "one"), (5, "two other"), (6, None), (7, None), (8, "x y"), (8, "x y")]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, text_hash int")
+    kept = shingle_join.stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(map(str, [(None, "only null"), (3, text), (5, "one"), (5, "two other"), (6, None), (7, None), (8, "x y")]))
+
+
 def test_boundary_follows_costs():
     assert shingle_join.choose_boundary({60: 10}, 0.0) < 60
     assert shingle_join.choose_boundary({10: 10}, 50.0) >= 10
