@@ -50,7 +50,7 @@ SHORT = 16
 #: Bits of the bitmaps of frequent shingles and of candidate ids, as a power of two: 16 MB each at most.
 MOST_MAP_BITS = 27
 #: Bits of such a map for each entry. A map of frequent shingles takes only the most frequent ones, if need be.
-ROOM = 8
+ROOM = 32
 #: Small sets have at most so many shingles, whatever the costs; beyond it subsets are never cheaper.
 LARGEST_BOUNDARY = 64
 #: Shingles that a task counts at a time.
@@ -420,8 +420,8 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # --- third pass: the sets of candidates, and comparing pairs
 
-SETS = "node long, n int, sketch binary, shingles binary"
-_SETS = pa.schema([("node", pa.int64()), ("n", pa.int32()), ("sketch", pa.binary()), ("shingles", pa.binary())])
+SETS = "doc_id long, node long, n int, sketch binary, shingles binary"
+_SETS = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("sketch", pa.binary()), ("shingles", pa.binary())])
 
 
 def sketch_of(shingles: np.ndarray) -> np.ndarray:
@@ -438,22 +438,24 @@ def _setter(shared, node_bits: int = 64):
         found, clashes = shared.value
         for b in batches:
             chosen = in_bitmap(b.column("place").to_numpy().view(np.uint64), found)
-            nodes, sizes, sketches, whole, held = [], [], [], [], 0
-            for s in shingler.sets(b.column("text").filter(pa.array(chosen))):
+            ids, nodes, sizes, sketches, whole, held = [], [], [], [], [], 0
+            named = b.column("doc_id").filter(pa.array(chosen)).to_pylist()
+            for doc_id, s in zip(named, shingler.sets(b.column("text").filter(pa.array(chosen))), strict=True):
                 node, _ = node_of(s, node_bits, clashes)
-                if node in done or len(s) < 2:
+                if (doc_id, node) in done or len(s) < 2:
                     continue
-                done.add(node)
+                done.add((doc_id, node))
+                ids.append(doc_id)
                 nodes.append(node)
                 sizes.append(len(s))
                 sketches.append(sketch_of(s).tobytes())
                 whole.append(s.tobytes())
                 held += len(s)
                 if held >= HELD:
-                    yield _batch(_SETS, node=nodes, n=sizes, sketch=sketches, shingles=whole)
-                    nodes, sizes, sketches, whole, held = [], [], [], [], 0
+                    yield _batch(_SETS, doc_id=ids, node=nodes, n=sizes, sketch=sketches, shingles=whole)
+                    ids, nodes, sizes, sketches, whole, held = [], [], [], [], [], 0
             if nodes:
-                yield _batch(_SETS, node=nodes, n=sizes, sketch=sketches, shingles=whole)
+                yield _batch(_SETS, doc_id=ids, node=nodes, n=sizes, sketch=sketches, shingles=whole)
             pa.default_memory_pool().release_unused()
 
     return run
@@ -498,13 +500,15 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 BROADCAST_NODES = 500_000
 
 
+def _small(rows: DataFrame) -> DataFrame:
+    """``rows`` of two numbers at most, broadcast if they are few."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_NODES else rows
+
+
 def _joined(pairs: DataFrame, sets: DataFrame, **columns: tuple[str, str]) -> DataFrame:
     """``pairs`` (a, b) with columns of both nodes, each by its two new names."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    some = sets.select("node", *columns)
-    nodes = written(nodes, "jaccard-nodes")
-    if nodes.count() <= BROADCAST_NODES:
-        some = some.join(F.broadcast(nodes), "node", "left_semi")
+    nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "jaccard-nodes")
+    some = sets.select("node", *columns).join(_small(nodes), "node", "left_semi").dropDuplicates(["node"])
     side = lambda k, which: some.select(F.col("node").alias(k), *(F.col(c).alias(names[which]) for c, names in columns.items()))
     return pairs.join(side("a", 0), "a").join(side("b", 1), "b")
 
@@ -647,7 +651,8 @@ def _resolve(lists: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         now = work()
     if not now["rows"]:
         return comps
-    some = sets.select("node", "sketch").join(rows.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    nodes = written(rows.select("node").distinct(), "jaccard-nodes")
+    some = sets.select("node", "sketch").join(_small(nodes), "node", "left_semi").dropDuplicates(["node"])
     left = _blocks(rows, mixed).join(some, "node").select(*(c.split()[0] for c in LEFT.split(", ")))
     met = left.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_tiles, "a long, b long").distinct()
     return _merged(comps, linked(written(met, "jaccard-met"), sets))
@@ -728,9 +733,11 @@ def _node_components(docs: DataFrame, boundary: int | None, node_bits: int) -> t
     owners = written(rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "jaccard-owners")
     place = F.xxhash64("doc_id")
     chosen = bitmap(owners.select(place.alias("place")), "place", map_bits(owners.count()))
-    # a set may come from several tasks or by a false hit of the bitmap; equal pairs are one link all the same
+    # of copies only the owner's set stays, as pairs are joined to sets; several tasks may have repeats of its row
     sets = texts.withColumn("place", place).mapInArrow(_setter(spark.sparkContext.broadcast((chosen, clashes)), node_bits), SETS)
-    return rows, _resolve(lists, pairs, written(sets, "jaccard-sets"))
+    own = _small(owners.select(F.col("node").alias("own"), F.col("doc_id").alias("owner")))
+    sets = sets.join(own, (F.col("node") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("owner")), "left_semi")
+    return rows, _resolve(lists, pairs, written(sets.drop("doc_id"), "jaccard-sets"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
