@@ -47,27 +47,36 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Rows of a map of dropped rows, each of 64 bits.
+#: Rows of a bitmap of numbers, each of 64 bits; it is broadcast.
 MAP_ROWS = 1 << 18
 
 
-def without(docs: DataFrame, dropped: DataFrame, text_hash: Column) -> DataFrame:
-    """``docs`` without the rows of ``dropped`` (doc_id, text_hash), ids compared null-safely.
+def marked(df: DataFrame, numbers: DataFrame, column: str) -> DataFrame:
+    """``df`` with ``hit``: whether its long ``column`` may be one of those in ``numbers``.
 
-    A map of at most ``MAP_ROWS`` rows, which is broadcast, tells what can't be among them; only the rest is
-    joined, so the texts of most rows stay where they are. A crowded map costs time and nothing else.
+    By a bitmap of at most ``MAP_ROWS`` rows, whatever there is in ``numbers``; a crowded map has false hits.
     """
-    number = F.xxhash64("doc_id", "text_hash")
-    row, bit = F.pmod(number, F.lit(MAP_ROWS)).alias("__row"), F.pmod(F.shiftright(number, 32), F.lit(64)).cast("int").alias("__bit")
+    mixed = F.xxhash64(column, F.lit(3))
+    row, bit = F.pmod(mixed, F.lit(MAP_ROWS)).alias("__row"), F.pmod(F.shiftright(mixed, 32), F.lit(64)).cast("int").alias("__bit")
     one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__bit"))
-    marks = dropped.select(row, bit).groupBy("__row").agg(F.bit_or(one).alias("__bits"))
-    hashed = docs.withColumn("text_hash", text_hash) if "text_hash" not in docs.columns else docs.withColumns({"__own": F.col("text_hash"), "text_hash": text_hash})
-    hashed = hashed.select("*", row, bit).join(F.broadcast(marks), "__row", "left")
+    bits = numbers.select(row, bit).groupBy("__row").agg(F.bit_or(one).alias("__bits"))
     hit = F.coalesce(F.call_function("getbit", F.col("__bits"), F.col("__bit")) == 1, F.lit(False))
-    d = dropped.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    rest = hashed.filter(hit).join(d, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("text_hash").eqNullSafe(F.col("__hash")), "left_anti")
-    own = [F.col("__own").alias(c) if c == "text_hash" else F.col(c) for c in docs.columns]
-    return hashed.filter(~hit).select(*own).unionByName(rest.select(*own))
+    return df.select("*", row, bit).join(F.broadcast(bits), "__row", "left").withColumn("hit", hit).drop("__row", "__bit", "__bits")
+
+
+def without(docs: DataFrame, dropped: DataFrame, text_hash: Column) -> DataFrame:
+    """``docs`` without the rows of ``dropped`` (doc_id, text_hash), ids compared null-safely.
+
+    Only rows that may be among them are joined, so the texts of most rows stay where they are.
+    """
+    own = docs.columns
+    packed = docs.select(F.struct(*own).alias("__row_of"), F.col("doc_id").alias("__id"), text_hash.alias("__hash"))
+    packed = packed.withColumn("__number", F.xxhash64("__id", "__hash"))
+    lost = dropped.select(F.col("doc_id").alias("__lost"), F.col("text_hash").alias("__lost_hash"))
+    seen = marked(packed, lost.select(F.xxhash64("__lost", "__lost_hash").alias("__number")), "__number")
+    same = F.col("__id").eqNullSafe(F.col("__lost")) & F.col("__hash").eqNullSafe(F.col("__lost_hash"))
+    rest = seen.filter("hit").join(lost, same, "left_anti")
+    return seen.filter("not hit").unionByName(rest).select("__row_of.*")
 
 
 def text_or_empty(column: str = "text") -> Column:

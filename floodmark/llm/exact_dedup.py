@@ -1,23 +1,24 @@
 """Exact dedup by an extendible-hash index kept in shared files.
 
 Texts are equal when identical after each run of blanks (space, tab to carriage return) became one
-space. The index holds one entry for each distinct (hash, digest) with the size of the group and its
-smallest id. A directory is doubled until no bucket holds more than ``capacity`` entries; buckets that
-were not overfull keep their shorter prefix. Each bucket is one folder of Parquet files, written by the
-task that owns its key range. Entries that share a hash are chained by digest, and the bytes of all
-texts below an entry of two rows or more are compared; where they differ the chain is split by the text
-itself. Everything is DataFrame code.
-
-Scale: texts cross the network once, and only to compare bytes; all else moves rows of some 60 bytes.
-Groups are salted (``salt``) before they are summed, so that no task sees a whole hot group.
+space. A directory of key prefixes is doubled until no bucket holds more than ``capacity`` rows; buckets
+that were not overfull keep their shorter prefix. Each bucket belongs to one owner task: all rows of its
+key range are dealt to it, and it sorts them, chains the digests that share a key, and writes entries
+(key, place in the chain, digest, size of the group, smallest id) to the bucket's folder. Bytes are
+compared at the owner too: the texts below an entry of two rows or more are dealt to its bucket, and where
+they differ the chain is split by the text itself. Everything is DataFrame code.
+
+Scale: owners get rows that are summed by key, digest and salt first, so a hot group is ``salts`` rows a
+bucket at most. Only texts whose key is that of a doubled entry, by a bitmap of fixed size, cross the
+network, and a bucket's owner sees their least and greatest per salt; all else moves rows of some 60 bytes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, shared_path, text_or_empty
+from .common import checkpointed, marked, shared_path, text_or_empty, without
 
 #: Runs of these become one space.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -28,7 +29,7 @@ def normalised(column: str = "text") -> Column:
 
 
 def bucket_directory(entries: DataFrame, capacity: int) -> tuple[DataFrame, int]:
-    """The directory over ``entries.key``: (slot, depth), one row per slot of the fullest depth in use.
+    """The directory over ``entries.key``: (slot, depth), one row per slot in use of the fullest depth.
 
     ``depth`` is the local depth of the bucket a slot belongs to. Doubling goes on until no bucket
     holds more than ``capacity`` keys, or the slots have 60 bits.
@@ -54,39 +55,45 @@ def bucket_directory(entries: DataFrame, capacity: int) -> tuple[DataFrame, int]
     return checkpointed(levels.select("slot", depth.cast("int").alias("depth"))), bits
 
 
+#: Rows of a bucket at least and folders of an index at most, if no capacity is given.
+LEAST_CAPACITY, FOLDERS = 20_000, 4_096
+
+
 def exact_dedup(
     docs: DataFrame,
-    capacity: int = 250_000,
+    capacity: int | None = None,
     salts: int = 64,
     key: Column | None = None,
     digest: Column | None = None,
 ) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256, bucket.
+    """One row per row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256, bucket, text_hash.
 
     A null text counts as empty; an empty table gives no rows. The smallest doc_id of equal texts stays;
     null ids rank last, so that a group has a null keep_id only where all its ids are null, and then
     ``kept`` holds for all of them. Repeated rows count in ``group_size``, and each repeat of the kept
     row is kept. Other columns of ``docs`` are not looked at. ``key`` (long) and ``digest`` over the
-    column ``norm`` replace xxhash64 and SHA-256 in tests of colliding chains.
+    column ``norm`` replace xxhash64 and SHA-256 in tests of colliding chains. ``text_hash`` is xxhash64
+    of the text as it is.
     """
-    norm = docs.select("doc_id", normalised().alias("norm"))
+    norm = docs.select("doc_id", "text", normalised().alias("norm"))
     key = F.xxhash64("norm") if key is None else key
     sha = F.unhex(F.sha2("norm", 256))
     digest = sha if digest is None else digest
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")
-    rows = norm.select("doc_id", key.alias("key"), digest.alias("digest"), sha.alias("sha"), salt.alias("salt"))
+    rows = norm.select("doc_id", F.xxhash64("text").alias("text_hash"), key.alias("key"), digest.alias("digest"), sha.alias("sha"), salt.alias("salt"))
     rows = checkpointed(rows)
 
-    parts = rows.groupBy("key", "digest", "salt").agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"))
-    entries = checkpointed(parts.groupBy("key", "digest").agg(F.sum("n").alias("n"), F.min("lo").alias("lo")))
-    index = _index_files(entries, capacity)
+    parts = checkpointed(rows.groupBy("key", "digest", "salt").agg(F.count("*").alias("n"), F.min("doc_id").alias("lo")))
+    directory, bits = bucket_directory(parts, capacity or max(LEAST_CAPACITY, parts.count() // FOLDERS))
+    index = _index_files(parts, directory, bits)
 
-    doubled = index.filter("n > 1").select("key", "digest")
+    doubled = index.filter("n > 1").select("key", "digest", "bucket")
+    texts = norm.select(key.alias("key"), digest.alias("digest"), salt.alias("salt"), "norm")
+    hits = marked(texts, doubled, "key").filter("hit").drop("hit")
     compared = (
-        norm.select(key.alias("key"), digest.alias("digest"), salt.alias("salt"), "norm")
-        .join(parts.join(doubled, ["key", "digest"]).select("key", "digest", "salt"), ["key", "digest", "salt"], "left_semi")
-        .groupBy("key", "digest", "salt").agg(F.min("norm").alias("a"), F.max("norm").alias("b"))
-        .groupBy("key", "digest").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+        hits.groupBy("key", "digest", "salt").agg(F.min("norm").alias("a"), F.max("norm").alias("b"))
+        .join(doubled, ["key", "digest"]).repartition("bucket")
+        .groupBy("bucket", "key", "digest").agg(F.min("a").alias("a"), F.max("b").alias("b"))
         .filter("a <> b").select("key", "digest")
     )
     clashes = checkpointed(compared)
@@ -94,12 +101,14 @@ def exact_dedup(
     clashing = not clashes.isEmpty()
     if clashing:
         out = rows.join(clashes, ["key", "digest"], "left_anti")
-    out = out.join(index, ["key", "digest"]).select("doc_id", "lo", "n", "sha", "bucket")
+    columns = ("doc_id", "text_hash", "lo", "n", "sha", "bucket")
+    out = out.join(index, ["key", "digest"]).select(*columns)
     if clashing:
-        chained = norm.withColumns({"key": key, "digest": digest, "sha": sha}).join(clashes, ["key", "digest"], "left_semi")
+        split = norm.select("doc_id", F.xxhash64("text").alias("text_hash"), "norm", key.alias("key"), digest.alias("digest"), sha.alias("sha"))
+        chained = split.join(clashes, ["key", "digest"], "left_semi")
         chains = chained.groupBy("norm").agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"))
         buckets = index.select("key", "digest", "bucket")
-        out = out.unionByName(chained.join(chains, "norm").join(buckets, ["key", "digest"]).select("doc_id", "lo", "n", "sha", "bucket"))
+        out = out.unionByName(chained.join(chains, "norm").join(buckets, ["key", "digest"]).select(*columns))
     return out.select(
         "doc_id",
         F.col("lo").alias("keep_id"),
@@ -107,35 +116,43 @@ def exact_dedup(
         F.col("doc_id").eqNullSafe(F.col("lo")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
         "bucket",
+        "text_hash",
     )
 
 
-def _index_files(entries: DataFrame, capacity: int) -> DataFrame:
-    """Write ``entries`` to one folder per bucket of the directory, and read them back."""
-    directory, bits = bucket_directory(entries, capacity)
+def _index_files(parts: DataFrame, directory: DataFrame, bits: int) -> DataFrame:
+    """The index over ``parts`` (key, digest, salt, n, lo): key, chain, digest, n, lo, bucket.
+
+    One task owns a bucket: it merges what salts hold of an entry, numbers the entries of a key, and writes
+    them to the bucket's folder.
+    """
     slot = F.shiftrightunsigned("key", 64 - bits)
-    placed = entries.join(directory, slot == F.col("slot"), "left")
     prefix = F.expr(f"shiftrightunsigned(slot, {bits} - depth)")
     bucket = F.concat_ws("-", F.col("depth"), prefix)
-    path = shared_path(entries.sparkSession, "dedup-index")
-    placed = placed.select("key", "digest", "n", "lo", bucket.alias("bucket")).repartition("bucket").sortWithinPartitions("key", "digest")
+    owned = parts.join(directory, slot == F.col("slot")).select("key", "digest", "n", "lo", bucket.alias("bucket")).repartition("bucket")
+    entries = owned.groupBy("bucket", "key", "digest").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"))
+    chain = F.row_number().over(Window.partitionBy("bucket", "key").orderBy("digest"))
+    placed = entries.select("key", chain.alias("chain"), "digest", "n", "lo", "bucket")
+    path = shared_path(parts.sparkSession, "dedup-index")
     placed.write.partitionBy("bucket").parquet(path)
-    return entries.sparkSession.read.schema(placed.schema).parquet(path)
+    return parts.sparkSession.read.schema(placed.schema).parquet(path)
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The rows of ``docs`` that stay, with its columns; of repeated kept rows one stays."""
-    marks = checkpointed(exact_dedup(docs).filter("kept").select("doc_id", "text_sha256"))
-    sha = F.sha2(normalised(), 256)
-    kept = marks.dropDuplicates()
-    out = docs.withColumn("__sha", sha).join(
-        kept.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__kept")),
-        F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__sha") == F.col("__kept")),
-        "left_semi",
-    ).drop("__sha")
-    if kept.count() < marks.count():
-        out = out.dropDuplicates()
-    return out
+    """The rows of ``docs`` that stay, with its columns; of repeated kept rows one stays.
+
+    Of kept rows that share an id and differ in blanks alone the one of the smallest text hash stays.
+    """
+    marks = checkpointed(exact_dedup(docs).select("doc_id", "text_hash", "kept", "text_sha256"))
+    kept = marks.filter("kept").groupBy("doc_id", "text_sha256").agg(F.min("text_hash").alias("first"), F.count("*").alias("rows"))
+    again = checkpointed(kept.filter("rows > 1"))
+    dropped = marks.filter("not kept").select("doc_id", "text_hash")
+    repeated = not again.isEmpty()
+    if repeated:
+        same = F.col("m.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("m.text_sha256") == F.col("k.text_sha256"))
+        dropped = dropped.unionByName(marks.filter("kept").alias("m").join(again.alias("k"), same).filter("text_hash <> first").select("m.doc_id", "text_hash"))
+    out = without(docs, dropped.distinct(), F.xxhash64("text"))
+    return out.dropDuplicates() if repeated else out
 
 
 ORACLE = r"""

@@ -30,7 +30,7 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("bucket")
+    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("bucket", "text_hash")
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
