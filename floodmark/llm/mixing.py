@@ -9,7 +9,8 @@ short of targets by at most ``SPARE`` of the tokens, in place of a few rows sett
 Everything is DataFrame code.
 
 Scale: one pass sums the tokens with partial sums on the map side, so a hot source costs nothing more;
-raking touches only the table of cells; the last pass joins documents to cells without moving texts
+raking touches only the table of cells, by window sums in one partition while cells are few, a dozen sweeps
+a job; the last pass joins documents to cells without moving texts
 (Spark broadcasts the cells while their files are small, and shuffles ids otherwise).
 """
 
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import text_or_empty, written
@@ -25,10 +26,14 @@ from .common import text_or_empty, written
 DIMENSIONS = ("source", "lang", "topic")
 #: Target shares are the natural shares to this power, made to sum to 1: 1 keeps the mix, 0 levels it.
 ALPHA = 0.8
-#: Sweeps of the SQL, which ``by_sql`` follows.
-SWEEPS, TOLERANCE = 24, 1e-10
-#: Sweeps at most otherwise, and the part of the largest miss that two times four sweeps have to take off.
-MOST_SWEEPS, STALL = 240, 1e-3
+#: The largest relative miss of a marginal that counts as met.
+TOLERANCE = 1e-10
+#: Sweeps at most, sweeps of a job, and the part of the miss that two jobs in a row have to take off.
+MOST_SWEEPS, SWEEPS_A_JOB, STALL = 2_400, 12, 1e-3
+#: Cells up to which raking runs in one partition.
+FEW_CELLS = 500_000
+#: Sweeps of the SQL, which has no loop; targets by natural shares are met well before.
+SQL_SWEEPS = 24
 #: Cells that need most and together hold at most this share of the target tokens don't set the rate.
 SPARE = 0.01
 #: Steps of a doubling in which scales are counted for that.
@@ -69,45 +74,52 @@ def tempered_targets(cells: DataFrame, dimension: str, alpha: float = ALPHA) ->
     return sums.select("value", (F.col("s") / F.lit(total or 1.0)).alias("share"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = MOST_SWEEPS, tolerance: float = TOLERANCE, stall: float | None = STALL) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = MOST_SWEEPS, tolerance: float = TOLERANCE, stall: float = STALL) -> DataFrame:
     """``cells`` (source, lang, topic, tokens) with ``weight``, whose marginals follow ``targets``, and ``miss``.
 
-    A value without a target gets weight 0; cells of 0 tokens keep 0. Raking ends when the largest relative
-    miss of a marginal is within ``tolerance``, when it stalls (twice in a row four sweeps don't lower it by
-    the part ``stall``; None: never), as with targets no table can meet, or after ``sweeps``. The miss that
-    remains is in every row, and logged when it is beyond ``tolerance``.
+    ``targets`` has (value, share) by dimension; shares have to sum to 1, or a ValueError is raised. A value
+    without a target gets weight 0; cells of 0 tokens keep 0. Raking ends when the largest relative miss of
+    a marginal is within ``tolerance``, when it stalls (twice in a row ``SWEEPS_A_JOB`` sweeps don't lower
+    it by the part ``stall``), as with targets no table can meet, or after ``sweeps``. The miss that remains
+    is in every row, and logged when it is beyond ``tolerance``; a target of a value that has no tokens is
+    missed by all of it.
     """
-    targets = {d: written(t, f"mix-target-{d}") for d, t in targets.items()}
-    weighted = written(cells.withColumn("weight", F.col("tokens").cast("double")), "mix-cells")
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    weighted = cells.withColumn("weight", F.col("tokens").cast("double"))
     if not total:
-        return weighted.withColumn("miss", F.lit(0.0))
-    miss, least, idle = float("inf"), float("inf"), 0
-    for sweep in range(1, sweeps + 1):
-        for d, target in targets.items():
-            sums = weighted.groupBy(F.col(d).alias("value")).agg(F.sum("weight").alias("s"))
-            scale = sums.join(target, "value", "left").select("value", F.when(F.col("s") > 0, total * F.coalesce("share", F.lit(0.0)) / F.col("s")).otherwise(0.0).alias("scale"))
-            weighted = weighted.join(scale, weighted[d] == scale["value"]).withColumn("weight", F.col("weight") * F.col("scale")).drop("value", "scale")
-        weighted = written(weighted, "mix-cells")
-        if sweep % 4 == 0 or sweep == sweeps:
-            miss = _error(weighted, targets, total)
-            idle = idle + 1 if stall is not None and miss > least * (1 - stall) else 0
-            least = min(least, miss)
-            if miss <= tolerance or idle == 2:
-                break
-    if miss > tolerance:
-        logging.getLogger(__name__).warning("raking ended after %d sweeps; a marginal misses its target by %.2g of it", sweep, miss)
-    return weighted.withColumn("miss", F.lit(miss))
-
-
-def _error(weighted: DataFrame, targets: dict[str, DataFrame], total: float) -> float:
-    """The largest relative miss of a marginal; a target without any cell is missed by all of it."""
-    worst = 0.0
+        return written(weighted.withColumn("miss", F.lit(0.0)), "mix-cells")
+    absent = 0.0
     for d, target in targets.items():
-        sums = weighted.groupBy(F.col(d).alias("value")).agg(F.sum("weight").alias("s"))
-        miss = target.filter("share > 0").join(sums, "value", "left").agg(F.max(F.abs(F.coalesce("s", F.lit(0.0)) / (F.col("share") * total) - 1)))
-        worst = max(worst, miss.first()[0] or 0.0)
-    return worst
+        target = written(target.select(F.col("value").alias(f"value_{d}"), F.col("share").alias(f"share_{d}")), f"mix-target-{d}")
+        shares = target.agg(F.sum(f"share_{d}")).first()[0] or 0.0
+        if abs(shares - 1) > 1e-6:
+            raise ValueError(f"target shares of {d} sum to {shares}")
+        held = weighted.filter("tokens > 0").select(F.col(d).alias(f"value_{d}")).distinct()
+        if not target.filter(F.col(f"share_{d}") > 0).join(held, f"value_{d}", "left_anti").isEmpty():
+            absent = 1.0
+        weighted = weighted.join(target, F.col(d) == F.col(f"value_{d}"), "left").drop(f"value_{d}").withColumn(f"share_{d}", F.coalesce(f"share_{d}", F.lit(0.0)))
+    weighted = written(weighted, "mix-cells")
+    few = weighted.count() <= FEW_CELLS
+    columns = [c for c in weighted.columns if c != "weight"]
+    of = {d: F.sum("weight").over(Window.partitionBy(d)) for d in targets}
+    goal = {d: F.col(f"share_{d}") * F.lit(total) for d in targets}
+    miss, idle, done = float("inf"), 0, 0
+    while done < sweeps:
+        one = weighted.coalesce(1) if few else weighted
+        now = min(SWEEPS_A_JOB, sweeps - done)
+        for d in [*targets] * now:
+            one = one.select(*columns, "weight", of[d].alias("s")).select(*columns, F.when(F.col("s") > 0, F.col("weight") * goal[d] / F.col("s")).otherwise(0.0).alias("weight"))
+        off = [F.when(goal[d] > 0, F.abs(of[d] / goal[d] - 1)).otherwise(0.0) for d in targets]
+        out = written(one.select(*columns, "weight", F.greatest(*off, F.lit(0.0)).alias("miss")), "mix-cells")
+        last, miss, done = miss, out.agg(F.max("miss")).first()[0], done + now
+        weighted = out.drop("miss")
+        idle = idle + 1 if miss > last * (1 - stall) else 0
+        if miss <= tolerance or idle == 2:
+            break
+    miss = max(miss, absent)
+    if miss > tolerance:
+        logging.getLogger(__name__).warning("raking ended after %d sweeps; a marginal misses its target by %.2g of it", done, miss)
+    return weighted.select(*cells.columns, "weight", F.lit(miss).alias("miss"))
 
 
 def uniform(seed: str = SEED) -> Column:
@@ -116,14 +128,13 @@ def uniform(seed: str = SEED) -> Column:
     return F.conv(digits, 16, 10).cast("long") / F.lit(float(2**52))
 
 
-def cell_probabilities(docs: DataFrame, targets: dict[str, DataFrame] | None = None, by_sql: bool = False) -> DataFrame:
+def cell_probabilities(docs: DataFrame, targets: dict[str, DataFrame] | None = None, spare: float = SPARE) -> DataFrame:
     """(source, lang, topic, probability, scale, miss) of the cells of ``docs``."""
     cells = written(_celled(docs).groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "mix-sums")
     targets = targets or {d: tempered_targets(cells, d) for d in DIMENSIONS}
     per_token = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
-    weighted = rake(cells, targets, SWEEPS, stall=None) if by_sql else rake(cells, targets)
-    raked = written(weighted.select(*DIMENSIONS, "weight", per_token.alias("scale"), "miss"), "mix-scales")
-    top = full_scale(raked, 0.0 if by_sql else SPARE)
+    raked = written(rake(cells, targets).select(*DIMENSIONS, "weight", per_token.alias("scale"), "miss"), "mix-scales")
+    top = full_scale(raked, spare)
     return written(raked.drop("weight").withColumn("probability", F.least(F.lit(1.0), F.col("scale") / F.lit(top))), "mix-probabilities")
 
 
@@ -142,15 +153,15 @@ def full_scale(raked: DataFrame, spare: float) -> float:
     return 1.0
 
 
-def mix_documents(docs: DataFrame, targets: dict[str, DataFrame] | None = None, seed: str = SEED, by_sql: bool = False) -> DataFrame:
+def mix_documents(docs: DataFrame, targets: dict[str, DataFrame] | None = None, seed: str = SEED, spare: float = SPARE) -> DataFrame:
     """doc_id, source, lang, topic, tokens, scale, probability, sampled for each row of ``docs`` (doc_id, text, source, lang).
 
     A null source or language is the value ``(none)``; a null or empty text has 0 tokens and the
     probability of its cell. Repeated rows share one draw, as do all rows of null id. A column ``topic``
-    is used if there is one; other columns are ignored. An empty table gives no rows. ``by_sql`` does what
-    ``ORACLE`` says to the letter: 24 sweeps, met or not, and probability 1 for the neediest cell alone.
+    is used if there is one; other columns are ignored. An empty table gives no rows. With ``spare`` 0
+    the neediest cell alone has probability 1.
     """
-    return _drawn(docs, cell_probabilities(docs, targets, by_sql), seed)
+    return _drawn(docs, cell_probabilities(docs, targets, spare), seed)
 
 
 def _drawn(docs: DataFrame, cells: DataFrame, seed: str = SEED) -> DataFrame:
@@ -183,7 +194,7 @@ def _oracle() -> str:
     for x in DIMENSIONS:
         ctes.append(f"t_{x} AS MATERIALIZED (SELECT {x}, s / sum(s) OVER () AS share FROM (SELECT {x}, pow(sum(tokens), {ALPHA}) AS s FROM c GROUP BY {x}))")
     last, weight = "c", "tokens"
-    for k in range(SWEEPS):
+    for k in range(SQL_SWEEPS):
         for x in DIMENSIONS:
             step = f"w_{k}_{x}"
             ctes.append(f"{step} AS MATERIALIZED (SELECT {last}.* REPLACE ({weight} * share * (SELECT sum(tokens) FROM c) / sum({weight}) OVER (PARTITION BY {x}) AS {weight}) FROM {last} JOIN t_{x} USING ({x}))" if weight == "weight" else f"{step} AS MATERIALIZED (SELECT c.*, tokens * share * (SELECT sum(tokens) FROM c) / sum(tokens) OVER (PARTITION BY {x}) AS weight FROM c JOIN t_{x} USING ({x}))")

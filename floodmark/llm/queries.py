@@ -18,7 +18,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_documents(table(spark, sf_dir, "documents"), by_sql=True)
+    return mixing.mix_documents(table(spark, sf_dir, "documents"), spare=0.0)
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -115,6 +115,21 @@ def test_raking_goes_on_while_it_gets_closer(spark):
     assert (out["miss"] <= 5e-3).all()
 
 
+def test_slow_cells_are_raked_to_the_end(spark):
+    cells = spark.createDataFrame([("a", "x", "t", 1000), ("a", "y", "t", 1), ("b", "x", "t", 1), ("b", "y", "t", 10)], "source string, lang string, topic string, tokens long")
+    share = lambda *names: spark.createDataFrame([(n, 1 / len(names)) for n in names], "value string, share double")
+    out = mixing.rake(cells, {"source": share("a", "b"), "lang": share("x", "y"), "topic": share("t")}, tolerance=1e-6).toPandas()
+    assert (out["miss"] <= 1e-6).all() and abs(out.groupby("source")["weight"].sum() / 506 - 1).max() <= 1e-6
+
+
+def test_targets_are_checked(spark):
+    cells = spark.createDataFrame([("a", "x", "t", 5)], "source string, lang string, topic string, tokens long")
+    share = lambda d: spark.createDataFrame(list(d.items()), "value string, share double")
+    with pytest.raises(ValueError):
+        mixing.rake(cells, {"source": share({"a": 0.7})})
+    assert mixing.rake(cells, {"source": share({"a": 0.5, "nowhere": 0.5})}).first()["miss"] == 1.0
+
+
 def test_targets_no_table_meets_are_marked(spark):
     cells = spark.createDataFrame([("s0", "en", "t", 10), ("s1", "de", "t", 10)], "source string, lang string, topic string, tokens long")
     share = lambda d: spark.createDataFrame(list(d.items()), "value string, share double")
