@@ -9,7 +9,7 @@ short of targets by at most ``SPARE`` of the tokens, in place of a few rows sett
 Everything is DataFrame code.
 
 Scale: one pass sums the tokens with partial sums on the map side, so a hot source costs nothing more;
-raking touches only the table of cells, by window sums in one partition while cells are few, a dozen sweeps
+raking touches only the table of cells, by window sums in one partition while cells are few, some sweeps
 a job; the last pass joins documents to cells without moving texts
 (Spark broadcasts the cells while their files are small, and shuffles ids otherwise).
 """
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import text_or_empty, written
@@ -29,7 +29,7 @@ ALPHA = 0.8
 #: The largest relative miss of a marginal that counts as met.
 TOLERANCE = 1e-10
 #: Sweeps at most, sweeps of a job, and the part of the miss that two jobs in a row have to take off.
-MOST_SWEEPS, SWEEPS_A_JOB, STALL = 2_400, 12, 1e-3
+MOST_SWEEPS, SWEEPS_A_JOB, STALL = 2_400, 8, 1e-3
 #: Cells up to which raking runs in one partition.
 FEW_CELLS = 500_000
 #: Sweeps of the SQL, which has no loop; targets by natural shares are met well before.
@@ -100,17 +100,20 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = MOST_SWE
         weighted = weighted.join(target, F.col(d) == F.col(f"value_{d}"), "left").drop(f"value_{d}").withColumn(f"share_{d}", F.coalesce(f"share_{d}", F.lit(0.0)))
     weighted = written(weighted, "mix-cells")
     few = weighted.count() <= FEW_CELLS
-    columns = [c for c in weighted.columns if c != "weight"]
-    of = {d: F.sum("weight").over(Window.partitionBy(d)) for d in targets}
-    goal = {d: F.col(f"share_{d}") * F.lit(total) for d in targets}
+    columns = ", ".join(f"`{c}`" for c in weighted.columns if c != "weight")
+    goal = {d: f"share_{d} * {total!r}D" for d in targets}
     miss, idle, done = float("inf"), 0, 0
+    sweep = "{one}"
+    for d in targets:
+        sums = f"SELECT *, sum(weight) OVER (PARTITION BY {d}) AS s FROM {sweep}"
+        sweep = f"(SELECT {columns}, CASE WHEN s > 0 THEN weight * ({goal[d]}) / s ELSE 0D END AS weight FROM ({sums}))"
+    off = [f"CASE WHEN {g} > 0 THEN abs(sum(weight) OVER (PARTITION BY {d}) / ({g}) - 1) ELSE 0D END" for d, g in goal.items()]
+    off = f"greatest({', '.join(off)}, 0D) AS miss"
     while done < sweeps:
-        one = weighted.coalesce(1) if few else weighted
-        now = min(SWEEPS_A_JOB, sweeps - done)
-        for d in [*targets] * now:
-            one = one.select(*columns, "weight", of[d].alias("s")).select(*columns, F.when(F.col("s") > 0, F.col("weight") * goal[d] / F.col("s")).otherwise(0.0).alias("weight"))
-        off = [F.when(goal[d] > 0, F.abs(of[d] / goal[d] - 1)).otherwise(0.0) for d in targets]
-        out = written(one.select(*columns, "weight", F.greatest(*off, F.lit(0.0)).alias("miss")), "mix-cells")
+        one, now = weighted.coalesce(1) if few else weighted, min(SWEEPS_A_JOB, sweeps - done)
+        for _ in range(now):
+            one = one.sparkSession.sql(f"SELECT * FROM {sweep}", one=one)
+        out = written(one.selectExpr("*", off), "mix-cells")
         last, miss, done = miss, out.agg(F.max("miss")).first()[0], done + now
         weighted = out.drop("miss")
         idle = idle + 1 if miss > last * (1 - stall) else 0
