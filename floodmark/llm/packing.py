@@ -18,6 +18,7 @@ import os
 import string
 import zlib
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
@@ -56,6 +57,11 @@ def word_parts(word: str) -> tuple[str, ...]:
     return (bare, word[len(bare) :]) if bare[-1].isalnum() else (word,)
 
 
+def _lowered(text: str) -> str:
+    """``text`` in lower case where the tokenizer would do the same and no special token can come of it."""
+    return text.lower() if text.isascii() and "<|" not in text else text
+
+
 class Words:
     """Token ids of texts as little-endian bytes, word by word.
 
@@ -76,11 +82,13 @@ class Words:
 
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
         for at in range(0, len(texts), BATCH):
-            split = [(t or "").replace("\n", " ").split(" ") for t in texts[at : at + BATCH]]
+            split = [_lowered(t or "").replace("\n", " ").split(" ") for t in texts[at : at + BATCH]]
             if self.held > CACHE:
                 self.cache, self.held = {"": b""}, 0
-            known, words = self.cache, set().union(*split)
-            new = {w: word_parts(w) for w in words.difference(known)}
+            known, unknown = self.cache, set()
+            for words in split:
+                unknown.update(filterfalse(known.__contains__, words))
+            new = {w: word_parts(w) for w in unknown}
             self._learn({p for parts in new.values() for p in parts if p not in known})
             for w, parts in new.items():
                 if len(parts) == 2:
@@ -88,9 +96,8 @@ class Words:
                 elif parts[0] != w:
                     known[w] = known[parts[0]]
             self.held += sum(ENTRY + len(w) + len(known[w]) for w in new)
-            here = {w: known[w] for w in words}
             for words in split:
-                yield b"".join(map(here.__getitem__, words))
+                yield b"".join(map(known.__getitem__, words))
 
     def _learn(self, parts: set[str]) -> None:
         """Put the ids of ``parts`` into the cache. All words of letters go in one call: each is one

@@ -59,8 +59,8 @@ COUNTED = 1_000_000
 HELD = 500_000
 #: Salts that spread the lists of frequent shingles over tasks.
 SALTS = 32
-#: Bits of a parity sketch.
-SKETCH = 2048
+#: Bits of a parity sketch, and of the widest of the wide ones that larger sets have besides.
+SKETCH, WIDEST = 2048, 1 << 17
 #: Rows of a long list in a block; a task compares two blocks at a time.
 BLOCK = 4096
 #: Pairs of a round's lists for each of their rows from which another round of single nodes is worth it.
@@ -420,14 +420,24 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # --- third pass: the sets of candidates, and comparing pairs
 
-SETS = "doc_id long, node long, n int, sketch binary, shingles binary"
-_SETS = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("sketch", pa.binary()), ("shingles", pa.binary())])
+SETS = "doc_id long, node long, n int, sketch binary, wide binary, shingles binary"
+_SETS = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("sketch", pa.binary()), ("wide", pa.binary()), ("shingles", pa.binary())])
 
 
-def sketch_of(shingles: np.ndarray) -> np.ndarray:
+def width_of(n: int) -> int:
+    """Bits of the widest sketch of a set: a power of two, a bit for each shingle at least while they are few."""
+    return min(WIDEST, max(SKETCH, 1 << (n - 1).bit_length()))
+
+
+def sketch_of(shingles: np.ndarray, width: int = SKETCH) -> np.ndarray:
     """The parity of the shingles in each bucket, as bytes of bits."""
-    bucket = (shingles >> np.uint64(40)).astype(np.int64) % SKETCH
-    return np.packbits((np.bincount(bucket, minlength=SKETCH) & 1).astype(np.uint8))
+    bucket = (shingles >> np.uint64(40)).astype(np.int64) % width
+    return np.packbits((np.bincount(bucket, minlength=width) & 1).astype(np.uint8))
+
+
+def folded(sketch: np.ndarray, size: int) -> np.ndarray:
+    """The sketch of the same set in ``size`` bytes, which divide its own."""
+    return np.bitwise_xor.reduce(sketch.reshape(-1, size), axis=0)
 
 
 def _setter(shared, node_bits: int = 64):
@@ -438,7 +448,7 @@ def _setter(shared, node_bits: int = 64):
         found, clashes = shared.value
         for b in batches:
             chosen = in_bitmap(b.column("place").to_numpy().view(np.uint64), found)
-            ids, nodes, sizes, sketches, whole, held = [], [], [], [], [], 0
+            ids, nodes, sizes, sketches, wide, whole, held = [], [], [], [], [], [], 0
             named = b.column("doc_id").filter(pa.array(chosen)).to_pylist()
             for doc_id, s in zip(named, shingler.sets(b.column("text").filter(pa.array(chosen))), strict=True):
                 node, _ = node_of(s, node_bits, clashes)
@@ -448,14 +458,16 @@ def _setter(shared, node_bits: int = 64):
                 ids.append(doc_id)
                 nodes.append(node)
                 sizes.append(len(s))
-                sketches.append(sketch_of(s).tobytes())
+                widest = sketch_of(s, width_of(len(s)))
+                sketches.append(folded(widest, SKETCH // 8).tobytes())
+                wide.append(widest.tobytes() if len(widest) > SKETCH // 8 else None)
                 whole.append(s.tobytes())
                 held += len(s)
                 if held >= HELD:
-                    yield _batch(_SETS, doc_id=ids, node=nodes, n=sizes, sketch=sketches, shingles=whole)
-                    ids, nodes, sizes, sketches, whole, held = [], [], [], [], [], 0
+                    yield _batch(_SETS, doc_id=ids, node=nodes, n=sizes, sketch=sketches, wide=wide, shingles=whole)
+                    ids, nodes, sizes, sketches, wide, whole, held = [], [], [], [], [], [], 0
             if nodes:
-                yield _batch(_SETS, doc_id=ids, node=nodes, n=sizes, sketch=sketches, shingles=whole)
+                yield _batch(_SETS, doc_id=ids, node=nodes, n=sizes, sketch=sketches, wide=wide, shingles=whole)
             pa.default_memory_pool().release_unused()
 
     return run
@@ -473,7 +485,13 @@ def _near(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np.nd
 
 def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        ok = _near(_bits(b.column("ka")), _bits(b.column("kb")), b.column("na").to_numpy(), b.column("nb").to_numpy())
+        na, nb = b.column("na").to_numpy(), b.column("nb").to_numpy()
+        ok = _near(_bits(b.column("ka")), _bits(b.column("kb")), na, nb)
+        wide_a, wide_b = b.column("wa"), b.column("wb")
+        for k in np.flatnonzero(ok & wide_a.is_valid().to_numpy(zero_copy_only=False) & wide_b.is_valid().to_numpy(zero_copy_only=False)).tolist():
+            x, y = (np.frombuffer(w[k].as_buffer(), np.uint8) for w in (wide_a, wide_b))
+            size = min(len(x), len(y))
+            ok[k] = 9 * int(np.bitwise_count(folded(x, size) ^ folded(y, size)).sum(dtype=np.int64)) <= int(na[k]) + int(nb[k])
         yield b.select(["a", "b"]).filter(pa.array(ok))
 
 
@@ -506,16 +524,19 @@ def _small(rows: DataFrame) -> DataFrame:
 
 
 def _joined(pairs: DataFrame, sets: DataFrame, **columns: tuple[str, str]) -> DataFrame:
-    """``pairs`` (a, b) with columns of both nodes, each by its two new names."""
-    nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "jaccard-nodes")
-    some = sets.select("node", *columns).join(_small(nodes), "node", "left_semi").dropDuplicates(["node"])
-    side = lambda k, which: some.select(F.col("node").alias(k), *(F.col(c).alias(names[which]) for c, names in columns.items()))
-    return pairs.join(side("a", 0), "a").join(side("b", 1), "b")
+    """``pairs`` (a, b) with columns of both nodes, each by its two new names.
+
+    Few pairs go to the sets of ``a``, so that only those of ``b`` and what was joined are shuffled.
+    """
+    side = lambda k, which, some: some.select(F.col("node").alias(k), *(F.col(c).alias(names[which]) for c, names in columns.items()))
+    right = written(pairs.select(F.col("b").alias("node")).distinct(), "jaccard-nodes")
+    left = side("a", 0, sets).join(_small(pairs), "a")
+    return left.join(side("b", 1, sets.join(_small(right), "node", "left_semi")), "b")
 
 
 def bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The ones of ``pairs`` (a, b) whose sketches leave room for a link."""
-    return written(_joined(pairs, sets, n=("na", "nb"), sketch=("ka", "kb")).mapInArrow(_bounded, "a long, b long"), "jaccard-bounded")
+    return written(_joined(pairs, sets, n=("na", "nb"), sketch=("ka", "kb"), wide=("wa", "wb")).mapInArrow(_bounded, "a long, b long"), "jaccard-bounded")
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -652,10 +673,10 @@ def _resolve(lists: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
     if not now["rows"]:
         return comps
     nodes = written(rows.select("node").distinct(), "jaccard-nodes")
-    some = sets.select("node", "sketch").join(_small(nodes), "node", "left_semi").dropDuplicates(["node"])
+    some = sets.select("node", "sketch").join(_small(nodes), "node", "left_semi")
     left = _blocks(rows, mixed).join(some, "node").select(*(c.split()[0] for c in LEFT.split(", ")))
     met = left.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_tiles, "a long, b long").distinct()
-    return _merged(comps, linked(written(met, "jaccard-met"), sets))
+    return _merged(comps, linked(bounded(written(met, "jaccard-met"), sets), sets))
 
 
 #: Rows in an Arrow batch: texts and sets are long, and a task holds some batches at a time.
@@ -730,14 +751,20 @@ def _node_components(docs: DataFrame, boundary: int | None, node_bits: int) -> t
     lists = written(lists.join(alone, "key", "left_anti"), "jaccard-lists")
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(lists.select("node")).distinct()
-    owners = written(rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "jaccard-owners")
+    held = rows.join(wanted, "node", "left_semi").groupBy("node", "doc_id").agg(F.count("*").alias("repeats"))
+    owners = written(held.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "repeats")).alias("o")).select("node", "o.doc_id", "o.repeats"), "jaccard-owners")
     place = F.xxhash64("doc_id")
     chosen = bitmap(owners.select(place.alias("place")), "place", map_bits(owners.count()))
     # of copies only the owner's set stays, as pairs are joined to sets; several tasks may have repeats of its row
+    several = owners.filter("repeats > 1").select("node")
     sets = texts.withColumn("place", place).mapInArrow(_setter(spark.sparkContext.broadcast((chosen, clashes)), node_bits), SETS)
     own = _small(owners.select(F.col("node").alias("own"), F.col("doc_id").alias("owner")))
     sets = sets.join(own, (F.col("node") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("owner")), "left_semi")
-    return rows, _resolve(lists, pairs, written(sets.drop("doc_id"), "jaccard-sets"))
+    sets = written(sets.drop("doc_id"), "jaccard-sets")
+    if not several.isEmpty():
+        again = sets.join(several, "node", "left_semi").dropDuplicates(["node"])
+        sets = written(sets.join(several, "node", "left_anti").unionByName(again), "jaccard-sets")
+    return rows, _resolve(lists, pairs, sets)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

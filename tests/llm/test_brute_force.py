@@ -340,7 +340,7 @@ def near_copies(rng, sizes, copies, edits):
 def test_groups_without_a_base(spark, node_bits, monkeypatch):
     """Copies edited so much that most link with nothing: what single nodes leave over is compared block by block."""
     monkeypatch.setattr(shingle_join, "BLOCK", 20)
-    table = near_copies(random.Random(21), (60, 100, 140), 90, (1, 2, 2, 3))
+    table = near_copies(random.Random(21), (60, 120), 60, (1, 2, 2, 3)) + [(1000 + i, t) for i, t in near_copies(random.Random(22), (2600,), 30, (20, 45, 60, 70))]
     for few in (0, shingle_join.PAIRS_A_ROW):
         monkeypatch.setattr(shingle_join, "PAIRS_A_ROW", few)
         got = shingle_join.link_documents(spark.createDataFrame(table, "doc_id long, text string"), 1, node_bits)
@@ -357,6 +357,7 @@ def test_sketches_never_refuse_a_link():
         shared = np.array([len(np.intersect1d(s, o)) for o in sets])
         links = 100 * shared >= 80 * (n + n[i] - shared)
         assert shingle_join._near(bits, bits[i], n, n[i])[links].all()
+        assert (shingle_join.folded(shingle_join.sketch_of(s, shingle_join.width_of(len(s))), 256).view(np.uint64) == bits[i]).all()
         linked += int(links.sum()) - 1
     assert linked > 500
 
