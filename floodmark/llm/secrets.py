@@ -1,8 +1,10 @@
 """Secret scans by assignment-aware lexing.
 
 Base patterns run over every text. On top, lines that hold an assignment sign are lexed into names,
-literals and operators; a small pass turns them into name-literal pairs: ``name = "a" + "b"``,
-``"name": value``, ``NAME: value``, ``name => value``, ``--name=value``. A name bound to another name
+literals and operators; a small pass turns them into name-literal pairs: ``name = "a" + "b"`` (scored as one
+literal, a span for each part), ``"name": value``, ``NAME: value``, ``name => value``, ``--name=value``,
+``names["name"] = value``, ``setName("value")``. A sign at the end of a line takes its value from the next
+line. A name bound to another name
 takes over its literals (constant propagation through the whole text, forward references included).
 A literal is scored by how sensitive the names are that it reaches and by its own shape; the literals
 that score high enough are added as spans of the kind ``literal``. Base spans always stay.
@@ -63,49 +65,74 @@ def shape_weight(literal: str) -> int:
     return (len(bare) >= 8) + (classes >= 2) + (classes >= 3) + (entropy >= 3)
 
 
-def lexed_pairs(text: str) -> tuple[dict[str, list[tuple[int, int, str]]], dict[str, set[str]]]:
-    """Name-literal pairs and name-name bindings of all lines that hold ``:`` or ``=``."""
-    literals: dict[str, list[tuple[int, int, str]]] = {}
+SIGN = re.compile("[=:]")
+SETTER = re.compile(r"(?:set|with|use|add)_?([A-Za-z]\w*)")
+#: The parts of a literal, each start and end, and its text.
+Literal = tuple[list[tuple[int, int]], str]
+
+
+def lexed_pairs(text: str) -> tuple[dict[str, list[Literal]], dict[str, set[str]]]:
+    """Name-literal pairs and name-name bindings of all lines that hold ``:`` or ``=``, or follow such a sign."""
+    literals: dict[str, list[Literal]] = {}
     refs: dict[str, set[str]] = {}
-    at = 0
+    at, open_name = 0, None
     while True:
-        hits = [p for p in (text.find("=", at), text.find(":", at)) if p >= 0]
-        if not hits:
-            return literals, refs
-        start = text.rfind("\n", 0, min(hits)) + 1
-        end = text.find("\n", min(hits))
+        if open_name is None:
+            sign = SIGN.search(text, at)
+            if sign is None:
+                return literals, refs
+            start = max(text.rfind("\n", at, sign.start()) + 1, at)
+            end = text.find("\n", sign.start())
+        else:  # the value of the last sign is on this line
+            start, end = at + 1, text.find("\n", at + 1)
+            if start >= len(text):
+                return literals, refs
         end = len(text) if end < 0 else end
-        _lex_line(text, max(start, at), end, literals, refs)
+        open_name = _lex_line(text, start, end, literals, refs, open_name)
         at = end
 
 
-def _lex_line(text: str, start: int, end: int, literals: dict, refs: dict) -> None:
-    name, target, value_next, before = None, None, False, ""
+def _lex_line(text: str, start: int, end: int, literals: dict, refs: dict, target: str | None = None) -> str | None:
+    """Lexes one line; ``target`` waits for a value. The name that waits for one at its end."""
+    name, value_next, before, joining = None, target is not None, "", False
     for m in TOKEN.finditer(text, start, end):
         kind, word = m.lastgroup, m.group()
         if kind == "sign":
-            if word in (":", "=", ":=", "=>") and name and before in ("word", "string"):
+            value_next, joining = False, False
+            if word in (":", "=", ":=", "=>") and name and before in ("word", "string", "]"):
                 target, value_next = name, True
-            else:
-                value_next = False
         elif kind == "plus":
-            value_next = target is not None and before in ("string", "word")
+            joining = value_next = target is not None and before in ("string", "word")
         elif kind in ("string", "word"):
             inner = word[1:-1] if kind == "string" else word
             if value_next:
                 low = inner.lower()
                 if kind == "string" or not NAME.fullmatch(word) or any(c.isdigit() for c in word):
                     shift = 1 if kind == "string" else 0
-                    literals.setdefault(target, []).append((m.start() + shift, m.end() - shift, inner))
+                    span, found = (m.start() + shift, m.end() - shift), literals.setdefault(target, [])
+                    if joining and kind == "string" and found:
+                        spans, so_far = found[-1]
+                        spans.append(span)
+                        found[-1] = (spans, so_far + inner)
+                    else:
+                        found.append(([span], inner))
                 if kind == "word" and NAME.fullmatch(word):
                     refs.setdefault(target, set()).add(word.strip("$"))
                 value_next = kind == "word" and low in ("bearer", "basic", "new", "const", "str", "string", "final")
+            joining = False
             name = inner.strip("$-") if NAME.fullmatch(inner) else None
         else:
-            value_next = False
-            if word in ",;{}":
+            setter = SETTER.fullmatch(name.rpartition(".")[2]) if word == "(" and before == "word" and name else None
+            value_next = setter is not None
+            if setter:
+                target = setter[1]
+            elif word in ",;{}":
                 target = None
+            if word == "]" and before == "string":
+                before = "]"
+                continue
         before = kind
+    return target if value_next and before == "sign" else None
 
 
 def literal_spans(text: str) -> list[tuple[int, int]]:
@@ -121,7 +148,7 @@ def literal_spans(text: str) -> list[tuple[int, int]]:
             if reach.get(source, 0) < reach[n] and (source in literals or source in refs):
                 reach[source] = reach[n]
                 todo.append(source)
-    return sorted({(a, b) for n, found in literals.items() for a, b, s in found if n in reach and reach[n] + shape_weight(s) >= THRESHOLD})
+    return sorted({p for n, found in literals.items() for spans, s in found if n in reach and reach[n] + shape_weight(s) >= THRESHOLD for p in spans})
 
 
 def scan(text: str | None) -> tuple[list[tuple[int, int, str]], int, int, int]:

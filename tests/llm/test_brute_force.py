@@ -46,6 +46,13 @@ CODE = {
     'password = "changeme"': [],
     'title = "Zk39fj2Lq0"': [],
     "Note: the meeting is at 10:30 today": [],
+    'db_password = "aB3d" + "E5fG7h"': ["aB3d", "E5fG7h"],
+    'db_password = "aB3d" + suffix': [],
+    'os.environ["DB_PASSWORD"] = "hunter2-Zx81"': ["hunter2-Zx81"],
+    'client.setPassword("hunter2-Zx81")\nport: 1': [],
+    'mode = client.setPassword("hunter2-Zx81")': ["hunter2-Zx81"],
+    'db_password =\n    "hunter2-Zx81"\ntitle = "Zk39fj2Lq0"': ["hunter2-Zx81"],
+    "api_key:": [],
 }
 
 
@@ -54,6 +61,18 @@ def test_lexed_literals(code):
     assert [code[a:b] for a, b in secrets.literal_spans(code)] == CODE[code]
 
 
+def test_lexing_is_linear():
+    import time
+
+    def took(lines):
+        began = time.process_time()
+        assert secrets.literal_spans("a: b c\n" * lines) == []
+        return time.process_time() - began
+
+    took(1000)
+    assert took(160_000) < 40 * max(took(16_000), 0.02)
+
+
 # --- token counts
 
 def test_counts_equal_the_tokenizer(duck):
