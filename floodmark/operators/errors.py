@@ -36,12 +36,12 @@ def process(df: DataFrame, result: Column, error: Column, name: str = "result",
 
 #: Headers of a dead letter: this prefix and these names (fixed values).
 PREFIX = "__connect.errors."
-DEAD_LETTER_HEADERS = ("topic", "partition", "offset", "connector.name", "task.id", "stage", "exception.class.name", "exception.message")
+DEAD_LETTER_HEADERS = ("topic", "partition", "offset", "connector.name", "task.id", "stage", "class.name", "exception.class.name", "exception.message", "exception.stacktrace")
 
 
-def dead_letters(failed: DataFrame, topic: str, connector: str, stage: str, exception: str, message: Column, task: int = 0) -> DataFrame:
-    """Failed log records for the dead-letter topic, their context in headers."""
-    values = [F.col("topic"), F.col("partition"), F.col("offset"), F.lit(connector), F.lit(task), F.lit(stage), F.lit(exception), message]
+def dead_letters(failed: DataFrame, topic: str, connector: str, stage: str, exception: str, message: Column, task: int = 0, step: str | None = None, trace: Column | None = None) -> DataFrame:
+    """Failed log records for the dead-letter topic, their context in headers; ``step`` names the class that failed."""
+    values = [F.col("topic"), F.col("partition"), F.col("offset"), F.lit(connector), F.lit(task), F.lit(stage), F.lit(step), F.lit(exception), message, F.lit(None) if trace is None else trace]
     context = F.array(*[F.struct(F.lit(PREFIX + n).alias("key"), v.cast("string").cast("binary").alias("value")) for n, v in zip(DEAD_LETTER_HEADERS, values, strict=True)])
     return failed.withColumn("headers", F.concat(F.coalesce("headers", F.array().cast("array<struct<key:string,value:binary>>")), context)).withColumn("topic", F.lit(topic))
 

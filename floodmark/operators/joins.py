@@ -6,13 +6,15 @@ stream-table joins drop null keys; left and outer joins keep a left row without
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tables
 
-#: Global tables are broadcast up to so many rows; larger ones are joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Global tables are broadcast up to so many bytes (as JSON text); larger ones are joined by a shuffle.
+BROADCAST_BYTES = 64 << 20
 
 
 def _renamed(df: DataFrame, prefix: str) -> DataFrame:
@@ -107,10 +109,10 @@ def versioned_join(stream: DataFrame, versions: DataFrame, key: str, ts: str, va
 def global_join(stream: DataFrame, table: DataFrame, mapped: Column, table_key: str, values: list[str], how: str = "inner") -> DataFrame:
     """Stream rows with a fully replicated table by a key mapped from the row; a null mapped key is dropped or padded.
 
-    The table is counted: up to ``BROADCAST_ROWS`` it is broadcast, beyond it the join shuffles.
+    The table is measured: up to ``BROADCAST_BYTES`` it is broadcast, beyond it the join shuffles.
     """
     t = table.select(F.col(table_key).alias("_gk"), *[F.col(v).alias(f"t_{v}") for v in values])
-    if t.count() <= BROADCAST_ROWS:
+    if (t.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0) <= BROADCAST_BYTES:
         t = F.broadcast(t)
     return stream.join(t, mapped == F.col("_gk"), {"left": "left_outer"}.get(how, how)).drop("_gk")
 
@@ -149,6 +151,13 @@ def foreign_key_changes(change_rows: DataFrame, foreign, how: str = "inner") ->
     return rows.select(*[c for c in change_rows.columns if c not in ("new", "old", "is_latest")], "_a.*")
 
 
+def joined_value(pairs: DataFrame, joiner: Callable[[Column, Column, Column], Column], key: str, left: str, right: str, name: str = "value") -> DataFrame:
+    """The result of a join as one value: ``joiner(key, left, right)`` over its rows. The key is there to read and stays."""
+    if name == key:
+        raise ValueError("a joiner can't replace the key")
+    return pairs.withColumn(name, joiner(F.col(key), F.col(left), F.col(right)))
+
+
 def latest_by_time(changelog: DataFrame, key: str, ts: str, order: str, deleted: Column | None = None) -> DataFrame:
     """The latest view that out-of-order updates don't move: time decides, arrival breaks ties."""
     return tables.latest(changelog, key, order, deleted, versioned_by=ts)

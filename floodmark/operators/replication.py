@@ -80,10 +80,11 @@ def translate_offsets(committed: DataFrame, syncs: DataFrame) -> DataFrame:
     return rows.select("group", "topic", "partition", F.col("o").alias("upstream_offset"), down.alias("downstream_offset")).filter("downstream_offset is not null")
 
 
-def heartbeats(log: DataFrame, source: str, target: str) -> DataFrame:
-    """Newest heartbeat from ``source`` to ``target``: records keyed by both, valued by time."""
-    key = F.struct(F.lit(source).alias("source_cluster"), F.lit(target).alias("target_cluster"))
-    return log.agg(F.max("timestamp").alias("timestamp")).select(key.alias("key"), "timestamp")
+def heartbeats(log: DataFrame, source: Column | str, target: str) -> DataFrame:
+    """Newest heartbeat from each ``source`` (a name, or a column of names) to ``target``: records keyed by both, valued by time."""
+    names = {"source_cluster": F.lit(source) if isinstance(source, str) else source, "target_cluster": F.lit(target)}
+    newest = log.groupBy(*[c.alias(n) for n, c in names.items()]).agg(F.max("timestamp").alias("timestamp"))
+    return newest.select(F.struct(*names).alias("key"), "timestamp")
 
 
 def metrics(replica: DataFrame, window: str, size: Column, replicated_at: Column) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -51,9 +51,9 @@ def peek(df: DataFrame, observation: Observation | str, *metrics: Column) -> Dat
     return df.observe(observation, *metrics)
 
 
-def for_each(df: DataFrame, action: Callable[[list], None]) -> None:
-    """Terminal side effect on each partition's rows, on the executors."""
-    df.foreachPartition(lambda rows: action(list(rows)))
+def for_each(df: DataFrame, action: Callable[[Iterator], None]) -> None:
+    """Terminal side effect on each partition's rows as they come, on the executors."""
+    df.foreachPartition(action)
 
 
 def branch(df: DataFrame, branches: dict[str, Column], default: str | None = None) -> dict[str, DataFrame]:
@@ -80,8 +80,11 @@ def unwrap_window(df: DataFrame, window: str = "window") -> DataFrame:
     return df.withColumns({"start": F.col(f"{window}.start"), "end": F.col(f"{window}.end")}).drop(window)
 
 
-def group_by_key(df: DataFrame, key: str = "key"):
-    return df.groupBy(key)
+def group_by_key(df: DataFrame, key: Column | str = "key", name: str = "key"):
+    """Groups by a column, or by a key that an expression makes of each row; rows without one are dropped."""
+    if isinstance(key, str):
+        return df.groupBy(key)
+    return df.withColumn(name, key).dropna(subset=[name]).groupBy(name)
 
 
 def repartition(df: DataFrame, partitions: int | None = None, key: str = "key", partitioner: Column | None = None) -> DataFrame:

@@ -215,20 +215,32 @@ def topic_name_matches(pattern: str) -> Column:
 def drop_where(predicate: Column, negate: bool = False) -> Transform:
     """The filter transform: records the predicate holds for are dropped."""
     hit = F.coalesce(predicate, F.lit(False))
-    return lambda df: df.filter(hit if negate else ~hit)
+
+    def run(df: DataFrame) -> DataFrame:
+        return df.filter(hit if negate else ~hit)
+
+    run.drops = True
+    return run
 
 
 def only_where(predicate: Column, transform: Transform, negate: bool = False) -> Transform:
-    """The transform for records the predicate holds for; others pass as they are. It must keep the schema."""
+    """The transform for records the predicate holds for; others pass as they are. It must keep the schema.
+
+    A transform that drops records sees only those, and the others are added to what it leaves.
+    """
 
     def run(df: DataFrame) -> DataFrame:
         hit = F.coalesce(predicate, F.lit(False))
+        if getattr(transform, "drops", False):
+            hit = ~hit if negate else hit
+            return transform(df.filter(hit)).unionByName(df.filter(~hit))
         marked = df.withColumn("_hit", ~hit if negate else hit)
         held = marked.withColumn("_was", F.struct(*df.columns))
         done = transform(held)
         same = [F.when(F.col("_hit"), F.col(c)).otherwise(F.col(f"_was.{c}")).alias(c) for c in df.columns]
         return done.select(*same)
 
+    run.drops = getattr(transform, "drops", False)
     return run
 
 
@@ -238,6 +250,7 @@ def chain(*transforms: Transform) -> Transform:
             df = df.transform(t)
         return df
 
+    run.drops = any(getattr(t, "drops", False) for t in transforms)
     return run
 
 

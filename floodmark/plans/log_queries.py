@@ -192,4 +192,5 @@ def sta8_quota(t):
 
 @query("SELECT event_type AS topic, (epoch_us(max(ts)) // 1000) AS ms FROM events GROUP BY 1")
 def rep8_heartbeats(t):
-    return t.events.groupBy(F.col("event_type").alias("topic")).agg(F.max(epoch_millis(F.col("ts"))).alias("ms"))
+    beats = replication.heartbeats(t.events.withColumnRenamed("ts", "timestamp"), F.col("event_type"), "target")
+    return beats.select(F.col("key.source_cluster").alias("topic"), epoch_millis(F.col("timestamp")).alias("ms"))

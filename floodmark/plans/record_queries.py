@@ -181,3 +181,34 @@ def err4_dead_letters(t):
     out = errors.dead_letters(bad, "dead", "sink", "VALUE_CONVERTER", "DataException", F.lit("bad JSON"))
     pairs = F.transform("headers", lambda h: F.concat(h["key"], F.lit("="), h["value"].cast("string")))
     return out.select("topic", F.col("offset").alias("event_id"), F.array_join(pairs, ",").alias("headers"))
+
+
+@query("""SELECT event_id, nulls, 4 - nulls AS known, (user_id + CASE WHEN event_id % 3 = 0 THEN event_id ELSE 0 END)::BIGINT AS total, (9 + 4 * nulls + 8 * (4 - nulls))::INTEGER AS bytes
+FROM (SELECT *, (CASE WHEN event_id % 3 = 0 THEN 2 ELSE 1 END)::BIGINT AS nulls FROM events)""")
+def cnv4_longs(t):
+    """Lists with nulls to bytes and back."""
+    values = F.array(F.col("user_id"), F.lit(None).cast("long"), F.when(F.col("event_id") % 3 != 0, -F.col("event_id")), F.col("event_id"))
+    data = convert.longs_to_bytes(values)
+    back = convert.longs_from_bytes(data)
+    known = F.filter(back, lambda v: v.isNotNull())
+    return t.events.select("event_id", (F.size(back) - F.size(known)).cast("long").alias("nulls"), F.size(known).cast("long").alias("known"), F.aggregate(known, F.lit(0).cast("long"), lambda a, b: a + b).alias("total"), F.octet_length(data).alias("bytes"))
+
+
+@query("SELECT event_id, event_type || '/-/' || props AS texts FROM events")
+def cnv4_texts(t):
+    back = convert.texts_from_bytes(convert.texts_to_bytes(F.array("event_type", F.lit(None).cast("string"), "props")))
+    return t.events.select("event_id", F.array_join(back, "/", "-").alias("texts"))
+
+
+@query("SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN 'done' ELSE 'orders-' || strftime(o_orderdate, '%Y%m%d') END AS topic FROM orders WHERE o_orderstatus <> 'F' OR o_totalprice >= 1000")
+def smt20_drop_under_predicate(t):
+    """Only closed orders can be dropped by the inner filter."""
+    closed = F.col("value.status") == "F"
+    inner = transforms.chain(transforms.drop_where(F.col("value.price") < 1000), transforms.regex_router(".*", "done"))
+    return order_records(t).transform(transforms.only_where(closed, inner)).select(F.col("offset").alias("id"), "topic")
+
+
+@query("SELECT o_orderkey AS id, o_orderstatus || ':' || o_orderpriority AS both FROM orders")
+def smt18_nested_fields(t):
+    both = F.concat_ws(":", "value.status", transforms.get("value", "info.priority"))
+    return order_records(t).select(F.col("offset").alias("id"), both.alias("both"))

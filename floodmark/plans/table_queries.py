@@ -322,3 +322,23 @@ def flagship_clicks_by_segment(t):
     joined = clicks.join(segments, "user_id").withColumnRenamed("c_mktsegment", "segment")
     out = windows.windowed(joined, "segment", windows.tumbling("ts", "1 hour"), F.count("*").alias("clicks"))
     return out.select("segment", F.col("window.start").alias("start"), "clicks")
+
+
+@query("SELECT o_orderkey, o_custkey, o_custkey || ':' || o_orderstatus || '/' || coalesce(c_mktsegment, '?') AS value FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
+def joi15_keyed_joiner(t):
+    """A joiner that reads the key."""
+    pairs = joins.global_join(t.orders, t.customer, F.col("o_custkey"), "c_custkey", ["c_mktsegment"], "left")
+    text = lambda key, left, right: F.concat(key, F.lit(":"), left, F.lit("/"), F.coalesce(right, F.lit("?")))
+    return joins.joined_value(pairs, text, "o_custkey", "o_orderstatus", "t_c_mktsegment").select("o_orderkey", "o_custkey", "value")
+
+
+@query("SELECT l_returnflag || l_linestatus AS key, count(*) AS n FROM lineitem GROUP BY 1")
+def key2_group_by_mapped_key(t):
+    return stateless.group_by_key(t.lineitem, F.concat("l_returnflag", "l_linestatus")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT user_id, count(*) AS reads, max(event_id) AS position FROM events GROUP BY 1")
+def his10_position(t):
+    log = t.events.select(F.lit("events").alias("topic"), F.col("user_id").alias("partition"), F.col("event_id").alias("offset"))
+    reads = log.groupBy("partition").agg(F.count("*").alias("reads"))
+    return history.position(log).join(reads, "partition").select(F.col("partition").alias("user_id"), "reads", F.col("offset").alias("position"))

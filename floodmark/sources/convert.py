@@ -19,23 +19,90 @@ def to_json(column: Column, schema_json: str | None = None) -> Column:
 
 
 def decimal_from_base64(text: Column, scale: int) -> Column:
-    """A decimal from base64 of its unscaled two's complement, up to 8 bytes."""
-    return (long_from_bytes(F.unbase64(text)).cast("decimal(38,0)") / F.lit(10**scale).cast("decimal(20,0)")).cast(f"decimal(38,{scale})")
+    """A decimal from base64 of its unscaled two's complement of any length; null if 38 digits can't hold it."""
+    padded, negative = _padded_hex(F.unbase64(text), 32)
+    words = [F.conv(F.substring(padded, 1 + 8 * k, 8), 16, 10).cast("decimal(38,0)") for k in range(4)]
+    value = F.when(negative, words[0] - F.lit(1 << 32)).otherwise(words[0])
+    for w in words[1:]:
+        value = F.try_add(F.try_multiply(value.cast("decimal(38,0)"), F.lit(1 << 32).cast("decimal(10,0)")), w)
+    digits = F.lpad(F.abs(value.cast("decimal(38,0)")).cast("string"), F.greatest(F.length(F.abs(value.cast("decimal(38,0)")).cast("string")), F.lit(scale + 1)), F.lit("0"))
+    point = F.length(digits) - scale
+    signed = F.concat(F.when(negative, "-").otherwise(""), F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, F.lit(scale)))
+    return signed.try_cast(f"decimal(38,{scale})")
 
 
 def decimal_to_base64(value: Column, scale: int) -> Column:
-    """As ``decimal_from_base64`` reads it, in 8 bytes."""
+    """As ``decimal_from_base64`` reads it, in 8 bytes; a larger unscaled value is an error."""
     return F.base64(long_to_bytes((value * F.lit(10**scale)).cast("long")))
 
 
 def long_from_bytes(data: Column) -> Column:
-    """A signed big-endian number of 1 to 8 bytes; empty or null gives null."""
-    digits = F.hex(data)
-    negative = F.substring(digits, 1, 1) >= "8"
-    padded = F.when(negative, F.lpad(digits, 16, "F")).otherwise(F.lpad(digits, 16, "0"))
+    """A signed big-endian number of any length; empty, null or what a long can't hold gives null."""
+    padded, _ = _padded_hex(data, 16)
     high = F.conv(F.substring(padded, 1, 8), 16, 10).cast("long")
     low = F.conv(F.substring(padded, 9, 8), 16, 10).cast("long")
-    return F.when(F.length(digits) > 0, F.shiftleft(high, 32).bitwiseOR(low))
+    return F.shiftleft(high, 32).bitwiseOR(low)
+
+
+def _padded_hex(data: Column, digits: int) -> tuple[Column, Column]:
+    """A big-endian two's complement number in so many hex digits, null if it needs more; and whether it's negative."""
+    h = F.hex(data)
+    negative = F.substring(h, 1, 1) >= "8"
+    bare = F.when(negative, F.regexp_replace(h, "^F+", "")).otherwise(F.regexp_replace(h, "^0+", ""))
+    fits = (F.length(bare) < digits) | ((F.length(bare) == digits) & ((F.substring(bare, 1, 1) >= "8") == negative))
+    padded = F.when(negative, F.lpad(bare, digits, "F")).otherwise(F.lpad(bare, digits, "0"))
+    return F.when((F.length(h) > 0) & fits, padded), negative
+
+
+#: Flags of a serialised list, and the length that stands for a null entry (fixed values).
+CONSTANT_SIZE, VARIABLE_SIZE, NULL_ENTRY = "00", "01", "FFFFFFFF"
+
+
+def _int_hex(value: Column) -> Column:
+    return F.lpad(F.hex(value.cast("long")), 8, "0")
+
+
+def longs_to_bytes(values: Column) -> Column:
+    """A list of longs: flag, count and places of nulls, size, then 8 bytes for each that isn't null."""
+    places = F.filter(F.transform(values, lambda v, i: F.when(v.isNull(), i)), lambda i: i.isNotNull())
+    body = F.array_join(F.transform(F.filter(values, lambda v: v.isNotNull()), lambda v: F.lpad(F.hex(v), 16, "0")), "")
+    return F.when(values.isNotNull(), F.unhex(F.concat(F.lit(CONSTANT_SIZE), _int_hex(F.size(places)), F.array_join(F.transform(places, _int_hex), ""), _int_hex(F.size(values)), body)))
+
+
+def longs_from_bytes(data: Column) -> Column:
+    """What ``longs_to_bytes`` wrote, nulls in their places."""
+    h = F.hex(data)
+    number = lambda at, n: F.conv(F.substring(h, at, F.lit(n)), 16, 10).cast("long").cast("int")
+    upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    nulls = number(F.lit(3), 8)
+    places = F.transform(upto(nulls), lambda k: number(11 + 8 * k, 8))
+    size_at = 11 + 8 * nulls
+    size = number(size_at, 8)
+    before = lambda i: F.size(F.filter(places, lambda p: p < i))
+    value = lambda i: long_from_bytes(F.unhex(F.substring(h, size_at + 8 + 16 * (i - before(i)), F.lit(16))))
+    return F.when(data.isNotNull(), F.transform(upto(size), lambda i: F.when(~F.array_contains(places, i), value(i))))
+
+
+def texts_to_bytes(values: Column) -> Column:
+    """A list of texts: flag, size, then length and UTF-8 bytes of each, a null by its length alone."""
+    entry = lambda v: F.when(v.isNull(), NULL_ENTRY).otherwise(F.concat(_int_hex(F.octet_length(v)), F.hex(v.cast("binary"))))
+    return F.when(values.isNotNull(), F.unhex(F.concat(F.lit(VARIABLE_SIZE), _int_hex(F.size(values)), F.array_join(F.transform(values, entry), ""))))
+
+
+def texts_from_bytes(data: Column) -> Column:
+    """What ``texts_to_bytes`` wrote."""
+    h = F.hex(data)
+    size = F.conv(F.substring(h, 3, 8), 16, 10).cast("int")
+    none = F.array().cast("array<string>")
+
+    def take(so_far: Column, _: Column) -> Column:
+        raw = F.substring(h, so_far["at"], F.lit(8))
+        n = F.when(raw == NULL_ENTRY, 0).otherwise(F.conv(F.when(raw != NULL_ENTRY, raw), 16, 10).cast("int"))
+        text = F.when(raw != NULL_ENTRY, F.unhex(F.substring(h, so_far["at"] + 8, 2 * n)).cast("string"))
+        return F.struct((so_far["at"] + 8 + 2 * n).alias("at"), F.concat(so_far["out"], F.array(text)).alias("out"))
+
+    steps = F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
+    return F.when(data.isNotNull(), F.aggregate(steps, F.struct(F.lit(11).alias("at"), none.alias("out")), take)["out"])
 
 
 def long_to_bytes(value: Column, size: int = 8) -> Column:

@@ -1,4 +1,4 @@
-"""Record logs: DataFrames with the columns of Spark's Kafka source.
+"""Record logs: DataFrames with the columns that Spark's reader of message brokers gives.
 
 ``topic, partition, offset, timestamp, timestampType, key, value, headers``; a log may lie in files or
 come from a broker, since only the reader's format differs.

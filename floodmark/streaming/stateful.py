@@ -32,7 +32,13 @@ class FunctionProcessor(StatefulProcessor):
             self.state.clear()
         else:
             self.state.update(state)
-            if self.timer_at is not None and (at := self.timer_at(state)) is not None:
+        if self.timer_at is not None:  # one timer at most: that of the state as it is now
+            at = None if state is None else self.timer_at(state)
+            held = [int(t) for t in self.handle.listTimers()]
+            for t in held:
+                if at is None or t != int(at):
+                    self.handle.deleteTimer(t)
+            if at is not None and int(at) not in held:
                 self.handle.registerTimer(int(at))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -59,6 +65,31 @@ def process(stream: DataFrame, key: str, step: Callable, state_schema: str, outp
     return stream.groupBy(key).transformWithStateInPandas(FunctionProcessor(step, state_schema, on_timer, timer_at), output, output_mode, time_mode)
 
 
+def process_values(stream: DataFrame, key: str, step: Callable, state_schema: str, output: str, output_mode: str = "append", **timers) -> DataFrame:
+    """As ``process``, but rows stay under their key: ``step`` gives rows of ``output`` (DDL) without it, and can't change it."""
+    kind = stream.schema[key].dataType.simpleString()
+
+    def keyed(k, state, rows):
+        state, out = step(k, state, rows)
+        if out is not None and len(out):
+            if key in out:
+                raise ValueError(f"{key} is the key and can't be set")
+            out = out.copy()
+            out.insert(0, key, k[0])
+        return state, out
+
+    return process(stream, key, keyed, state_schema, f"`{key}` {kind}, {output}", output_mode, **timers)
+
+
+def with_global_state(stream: DataFrame, read: Callable[[], DataFrame], put: Callable[[DataFrame, DataFrame, int], None], checkpoint: str):
+    """Micro-batches with a table that all tasks share: ``put(batch, table, batch_id)`` gets it as it is at that batch.
+
+    ``read`` names the table (files that another query writes); it is only read here, so batches stay repeatable
+    as long as the table is versioned or grows.
+    """
+    return stream.writeStream.foreachBatch(lambda batch, n: put(batch, read(), n)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def first_by_key(stream: DataFrame, key: str, order: str) -> DataFrame:
     """The first row of each key ever seen."""
 

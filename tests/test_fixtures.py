@@ -225,3 +225,36 @@ def test_upsert_survives_and_keeps_latest(spark, tmp_path):
 def test_joiner_shows_missing_values(spark):
     row = frame(spark, [("a", None)], "x string, y string").select(reducers.concatenated("+")(F.col("x"), F.col("y")).alias("z")).first()
     assert row.z == "a+null"
+
+
+def test_numbers_of_any_length(spark):
+    import base64
+    from decimal import Decimal
+
+    from floodmark.sources import convert
+
+    numbers = [2**64, -(2**64), 2**63, 2**63 - 1, -(2**63), 255, -1, 0, 10**38 - 1, 10**38]
+    raw = [n.to_bytes(17, "big", signed=True) for n in numbers]
+    df = spark.createDataFrame([(i, bytearray(b), base64.b64encode(b).decode()) for i, b in enumerate(raw)], "i int, b binary, t string")
+    out = df.select("i", convert.long_from_bytes(F.col("b")).alias("n"), convert.decimal_from_base64(F.col("t"), 3).alias("d"), convert.decimal_from_base64(F.col("t"), 0).alias("w")).orderBy("i").collect()
+    assert [r.n for r in out] == [n if -(2**63) <= n < 2**63 else None for n in numbers]
+    assert [r.d for r in out][:8] == [Decimal(n).scaleb(-3) for n in numbers[:8]]
+    assert [r.w for r in out] == [Decimal(n) for n in numbers[:9]] + [None]
+
+
+def test_lists_as_bytes(spark):
+    from floodmark.sources import convert
+
+    df = spark.createDataFrame([(1, [7, None, -2], ["a", None, "é"]), (2, [], []), (3, None, None)], "i int, n array<long>, t array<string>")
+    out = df.select("n", "t", convert.longs_to_bytes(F.col("n")).alias("nb"), convert.texts_to_bytes(F.col("t")).alias("tb")).select("n", "t", "nb", "tb", convert.longs_from_bytes(F.col("nb")).alias("n2"), convert.texts_from_bytes(F.col("tb")).alias("t2")).collect()
+    assert all((r.n, r.t) == (r.n2, r.t2) for r in out)
+    assert bytes(out[0].nb).hex() == "00" "00000001" "00000001" "00000003" "0000000000000007" "fffffffffffffffe"
+    assert bytes(out[0].tb).hex() == "01" "00000003" "00000001" "61" "ffffffff" "00000002" "c3a9"
+
+
+def test_drop_under_a_predicate(spark):
+    from floodmark.operators import transforms
+
+    df = spark.range(1, 4)
+    out = df.transform(transforms.only_where(F.col("id") == 1, transforms.drop_where(F.lit(True))))
+    assert sorted(r.id for r in out.collect()) == [2, 3]
