@@ -2,7 +2,8 @@
 
 A dialogue is rendered once for each of its participants: that speaker's turns are the assistant's, all
 others appear as users by name, system turns stay what they are. The mask lists the characters to learn
-from: the content and end mark of the assistant's turns.
+from: the content and end mark of the assistant's turns. Marks can't be forged: ``<|`` in a text comes out
+as ``<\\|``, and in a name ``|`` as ``\\|`` and a line feed as a space.
 
 A dialogue comes in parts of ``part_turns`` turn numbers, so a row is bounded however long a dialogue
 is; parts follow each other without a gap, and spans count from the start of a part.
@@ -20,11 +21,15 @@ END = "<|end|>\n"
 PART_TURNS = 256
 
 
+def _named(speaker: str) -> str:
+    return speaker.replace("|", "\\|").replace("\n", " ")
+
+
 def _render(turns: list, perspective: str) -> tuple[str, str, int]:
     out, spans, at, learned = [], [], 0, 0
     for _, speaker, text in turns:
         own = speaker == perspective
-        head = "<|assistant|>\n" if own else "<|system|>\n" if speaker == "system" else f"<|user name={speaker}|>\n"
+        head = "<|assistant|>\n" if own else "<|system|>\n" if speaker == "system" else f"<|user name={_named(speaker)}|>\n"
         segment = head + text + END
         if own:
             spans.append(f"{at + len(head)}:{at + len(segment)}")
@@ -46,7 +51,7 @@ def rotate_perspectives(conversations: DataFrame, part_turns: int = PART_TURNS)
         "conv_id",
         F.coalesce(F.col("turn").cast("long"), F.lit(0)).alias("turn"),
         F.coalesce("role", F.lit("unknown")).alias("speaker"),
-        F.coalesce("text", F.lit("")).alias("text"),
+        F.replace(F.coalesce("text", F.lit("")), F.lit("<|"), F.lit("<\\|")).alias("text"),
     )
     part = F.floor(F.col("turn") / part_turns).cast("long")
     parts = turns.groupBy("conv_id", part.alias("part")).agg(F.sort_array(F.collect_set(F.struct("turn", "speaker", "text"))).alias("turns"))
@@ -65,11 +70,11 @@ def rotate_perspectives(conversations: DataFrame, part_turns: int = PART_TURNS)
     return views.mapInPandas(run, "conv_id long, perspective string, part long, n_turns long, text string, mask string, n_learned long")
 
 
-ORACLE = f"""
-WITH t AS (SELECT DISTINCT conv_id, coalesce(turn, 0) AS turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text FROM conversations),
+ORACLE = rf"""
+WITH t AS (SELECT DISTINCT conv_id, coalesce(turn, 0) AS turn, coalesce(role, 'unknown') AS speaker, replace(coalesce(text, ''), '<|', '<\|') AS text FROM conversations),
 s AS (SELECT t.conv_id, p.perspective, turn // {PART_TURNS} AS part, turn, speaker, text,
              CASE WHEN speaker = perspective THEN '<|assistant|>' WHEN speaker = 'system' THEN '<|system|>'
-                  ELSE '<|user name=' || speaker || '|>' END || chr(10) AS head
+                  ELSE '<|user name=' || replace(replace(speaker, '|', '\|'), chr(10), ' ') || '|>' END || chr(10) AS head
       FROM t JOIN (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker NOT IN ('system', 'unknown')) p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
 o AS (SELECT *, head || text || '<|end|>' || chr(10) AS segment,
              sum(length(head || text) + 8) OVER (PARTITION BY conv_id, perspective, part ORDER BY turn, speaker, text) AS till FROM s)
