@@ -51,15 +51,3 @@ def vectorised(function: Callable, returns: str):
 def transform_values(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     """A transformer over Arrow batches as pandas frames that keeps the keys' partitioning."""
     return df.mapInPandas(lambda batches: (function(b) for b in batches), schema)
-
-
-#: Transforms and predicates by name, for pipelines that are set up from configuration.
-REGISTRY: dict[str, Callable] = {}
-
-
-def register(name: str):
-    def add_to(f: Callable) -> Callable:
-        REGISTRY[name] = f
-        return f
-
-    return add_to

@@ -26,7 +26,9 @@ def window_join(left: DataFrame, right: DataFrame, key: str, ts: str, before_ms:
 
     Columns come back as ``l_*`` and ``r_*`` with ``result_ts``, the later of both times. ``how``:
     inner, left, full_outer. In a batch the times are cut into buckets as wide as the window that join
-    by equality with the key, so a hot key is spread over its buckets; each pair comes once. On streams
+    by equality with the key, so a hot key is spread over its buckets. A left row lies in one bucket and a
+    right row in up to two, so each pair comes once and a left join pads by itself; a full join adds the
+    right rows that meet none. On streams
     (pass ``bucketed=False``, watermarks on both sides) Spark keeps state for the interval.
     """
     if before_ms + after_ms < 0:
@@ -36,36 +38,20 @@ def window_join(left: DataFrame, right: DataFrame, key: str, ts: str, before_ms:
     low, high = lt - _ms(before_ms), lt + _ms(after_ms)
     on = (F.col(f"l_{key}") == F.col(f"r_{key}")) & (rt >= low) & (rt <= high)
     if bucketed:
-        width = max(1, before_ms + after_ms + 1)
-        micros = lambda c: F.unix_micros(c.cast("timestamp"))
-        bucket = lambda m: F.floor(m / (1000 * width))
-        first, last = bucket(micros(lt) - 1000 * before_ms), bucket(micros(lt) + 1000 * after_ms)
-        l = l.withColumn("_row", F.monotonically_increasing_id()) if how != "inner" else l  # noqa: E741
-        spread = l.withColumn("_b", F.explode(F.array_distinct(F.array(first, last))))
-        pairs = spread.join(r.withColumn("_rb", bucket(micros(rt))), on & (F.col("_b") == F.col("_rb"))).drop("_b", "_rb")
-        if how == "inner":
-            out = pairs
-        else:
-            keys = left.columns
-            matched = lambda side, cols: pairs.select(*[F.col(f"{side}{c}") for c in cols]).distinct()
-            lone = _anti(_renamed(left, "l_"), matched("l_", keys))
-            out = pairs.drop("_row").unionByName(lone, allowMissingColumns=True)
-            if how == "full_outer":
-                out = out.unionByName(_anti(r, matched("r_", right.columns)), allowMissingColumns=True)
+        width = before_ms + after_ms + 1
+        at = lambda c, shift: F.floor((F.unix_micros(c.cast("timestamp")) + 1000 * shift) / (1000 * width))
+        home = lambda df, c: df.withColumn(f"{c}_b", at(F.col(f"{c}_{ts}"), 0))
+        near = lambda df, c, low, high: df.withColumn(f"{c}_b", F.explode_outer(F.array_distinct(F.array(at(F.col(f"{c}_{ts}"), low), at(F.col(f"{c}_{ts}"), high)))))
+        on = on & (F.col("l_b") == F.col("r_b"))
+        out = home(l, "l").join(near(r, "r", -after_ms, before_ms), on, "inner" if how == "inner" else "left_outer").drop("l_b", "r_b")
+        if how == "full_outer":
+            lone = home(r, "r").join(near(l, "l", -before_ms, after_ms), on, "left_anti").drop("r_b")
+            out = out.unionByName(lone, allowMissingColumns=True)
     else:
         out = l.join(r, on, {"full_outer": "full_outer", "left": "left_outer"}.get(how, how))
     return out.withColumn("result_ts", F.greatest(f"l_{ts}", f"r_{ts}"))
 
 
-def _anti(rows: DataFrame, matched: DataFrame) -> DataFrame:
-    m = _renamed(matched, "_m_")
-    same = None
-    for c in rows.columns:
-        eq = F.col(c).eqNullSafe(F.col(f"_m_{c}"))
-        same = eq if same is None else same & eq
-    return rows.join(m, same, "left_anti")
-
-
 def _ms(n: int) -> Column:
     return F.expr(f"interval {abs(n)} milliseconds") if n >= 0 else F.expr(f"interval -{abs(n)} milliseconds")
 
@@ -158,6 +144,11 @@ def joined_value(pairs: DataFrame, joiner: Callable[[Column, Column, Column], Co
     return pairs.withColumn(name, joiner(F.col(key), F.col(left), F.col(right)))
 
 
+def versioned_table_join(left: DataFrame, right: DataFrame, key: str, ts: str, order: str, how: str = "inner", deleted_left: Column | None = None, deleted_right: Column | None = None) -> DataFrame:
+    """Changelogs of versioned tables by primary key: updates that come out of order change no result."""
+    return table_join(latest_by_time(left, key, ts, order, deleted_left), latest_by_time(right, key, ts, order, deleted_right), key, how, ts)
+
+
 def latest_by_time(changelog: DataFrame, key: str, ts: str, order: str, deleted: Column | None = None) -> DataFrame:
     """The latest view that out-of-order updates don't move: time decides, arrival breaks ties."""
     return tables.latest(changelog, key, order, deleted, versioned_by=ts)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.running import numbers
+
 #: Topics left out unless told otherwise (fixed values).
 EXCLUDED_TOPICS = (r"mm2.*\.internal", r".*\.replica", r"__.*")
 #: Consumer groups left out unless told otherwise (fixed values).
@@ -52,11 +54,13 @@ def hops(topic: Column, separator: str = ".") -> Column:
     return F.size(F.split(topic, f"\\Q{separator}\\E")) - 1
 
 
-def replicate(log: DataFrame, source: str, separator: str = ".") -> DataFrame:
-    """Records under their remote name, partition and order kept, with new offsets and the upstream ones."""
+def replicate(log: DataFrame, source: str, separator: str = ".", block: int = 1_000_000) -> DataFrame:
+    """Records under their remote name, partition and order kept, with new offsets and the upstream ones.
+
+    Offsets are given by blocks of ``block`` upstream offsets, so a long partition is many tasks.
+    """
     rows = log.withColumns({"upstream_offset": F.col("offset"), "topic": remote_topic(source, F.col("topic"), separator)})
-    new = F.row_number().over(Window.partitionBy("topic", "partition").orderBy("upstream_offset")) - 1
-    return rows.withColumn("offset", new.cast("long"))
+    return numbers(rows, ["topic", "partition"], ["upstream_offset"], F.floor(F.col("upstream_offset") / block))
 
 
 def offset_syncs(replica: DataFrame, every: int) -> DataFrame:

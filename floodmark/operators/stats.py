@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.running import running
+
 
 def sampled(df: DataFrame, ts: str, sample: str, *aggregates: Column, metric: str = "metric") -> DataFrame:
     """Aggregates by metric and sample window."""
@@ -15,8 +17,11 @@ def basic(value: str = "value") -> list[Column]:
     return [F.avg(value).alias("avg"), F.min(value).alias("min"), F.max(value).alias("max"), F.sum(value).alias("sum"), F.count(value).alias("count")]
 
 
-def cumulative(df: DataFrame, order: str, value: str = "value", metric: str = "metric") -> DataFrame:
-    """Running sum and count of each metric."""
+def cumulative(df: DataFrame, order: str, value: str = "value", metric: str = "metric", block: Column | None = None) -> DataFrame:
+    """Running sum and count of each metric, block by block if ``block`` is given (see ``functions.running``)."""
+    if block is not None:
+        counted = {"cumulative_sum": ("sum", F.col(value)), "cumulative_count": ("sum", F.col(value).isNotNull().cast("long"))}
+        return running(df, [metric], [order], block, counted)
     so_far = Window.partitionBy(metric).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumns({"cumulative_sum": F.sum(value).over(so_far), "cumulative_count": F.count(value).over(so_far)})
 
@@ -57,6 +62,20 @@ def histogram(df: DataFrame, low: float, high: float, buckets: int, linear: bool
     return df.groupBy(metric, bucket.alias("bucket")).agg(F.count("*").alias("count"))
 
 
+def binned_percentiles(df: DataFrame, shares: list[float], low: float, high: float, buckets: int, linear: bool = False, value: str = "value", metric: str = "metric") -> DataFrame:
+    """Percentiles as the lower end of the first bucket by which more than the share of all values has come.
+
+    Only bucket counts are shuffled, so a metric may have any number of values. Linear buckets start at 0.
+    """
+    counts = histogram(df, low, high, buckets, linear, value, metric)
+    so_far = Window.partitionBy(metric).orderBy("bucket")
+    share = F.sum("count").over(so_far) / F.sum("count").over(Window.partitionBy(metric))
+    bucket = F.col("bucket")
+    start = bucket * (bucket + 1) / F.lit(2.0) * (high / (buckets * (buckets + 1) / 2)) if linear else low + bucket * ((high - low) / buckets)
+    rows = counts.withColumns({"_share": share, "_start": start})
+    return rows.groupBy(metric).agg(*[F.coalesce(F.min(F.when(F.col("_share") > s, F.col("_start"))), F.max("_start")).alias(f"p{round(100 * s)}") for s in shares])
+
+
 def frequencies(df: DataFrame, low: float, high: float, buckets: int, value: str = "value", metric: str = "metric") -> DataFrame:
     """The share of each metric's values in each of equally wide buckets."""
     counts = histogram(df, low, high, buckets, value=value, metric=metric)

@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.running import running
+from .aggregates import aggregate
+
 
 def latest(changelog: DataFrame, key: str | list[str], order: str, deleted: Column | None = None, versioned_by: str | None = None) -> DataFrame:
     """The row of each key that arrived last, unless it deletes.
@@ -76,12 +79,24 @@ def count_table(signed: DataFrame) -> DataFrame:
 
 
 def sum_table(signed: DataFrame, field: str) -> DataFrame:
-    """Adder and subtractor for sums: what joins is added, what leaves subtracted."""
-    return signed.groupBy("group").agg(F.sum(F.col("sign") * F.col(f"cell.{field}")).alias("sum"))
+    """Adder and subtractor for sums: what joins is added, what leaves subtracted; with the ``count`` of rows now in the group."""
+    return signed.groupBy("group").agg(F.sum(F.col("sign") * F.col(f"cell.{field}")).alias("sum"), F.sum("sign").cast("long").alias("count"))
+
+
+def aggregate_table(signed: DataFrame, order: str, initial: Column, adder, subtractor, merger=None) -> DataFrame:
+    """A fold over a changing table: ``adder(a, cell)`` for what joins a group, ``subtractor(a, cell)`` for what leaves.
+
+    Changes go by ``order``, subtractions first. ``merger`` as in ``aggregates.aggregate``.
+    """
+    rows = signed.withColumns({"_at": F.struct(order, "sign"), "_change": F.struct("cell", "sign")})
+    step = lambda a, x: F.when(x["sign"] < 0, subtractor(a, x["cell"])).otherwise(adder(a, x["cell"]))
+    return aggregate(rows, "group", "_change", initial, step, "_at", merger)
 
 
-def running_count(signed: DataFrame, order: str) -> DataFrame:
-    """The count of the group after each change, subtractions before additions."""
+def running_count(signed: DataFrame, order: str, block: Column | None = None) -> DataFrame:
+    """The count of the group after each change, subtractions before additions; block by block if ``block`` is given."""
+    if block is not None:
+        return running(signed, ["group"], [order, "sign"], block, {"count": ("sum", F.col("sign"))})
     so_far = Window.partitionBy("group").orderBy(order, "sign").rowsBetween(Window.unboundedPreceding, 0)
     return signed.withColumn("count", F.sum("sign").over(so_far))
 

@@ -56,9 +56,20 @@ def cast(spec: dict[str, str] | str, on: str = "value") -> Transform:
     return run
 
 
-def extract_field(path: str, on: str = "value", nested: bool = True) -> Transform:
-    """The field in place of the struct; a null struct stays null."""
-    return lambda df: df.withColumn(on, get(on, path, nested))
+def extract_field(path: str, on: str = "value", nested: bool = True, replace_null_with_default: bool = True) -> Transform:
+    """The field in place of the struct; a null struct stays null. A null field gets its default (metadata ``default``), if it has one."""
+
+    def run(df: DataFrame) -> DataFrame:
+        *outer, last = field_path(path, nested)
+        parent = df.schema[on].dataType
+        for p in outer:
+            parent = parent[p].dataType
+        field, got = parent[last], get(on, path, nested)
+        if replace_null_with_default and "default" in field.metadata:
+            got = F.when(F.col(on).isNotNull(), F.coalesce(got, F.lit(field.metadata["default"]).cast(field.dataType)))
+        return df.withColumn(on, got)
+
+    return run
 
 
 def hoist_field(name: str, on: str = "value") -> Transform:
@@ -254,6 +265,40 @@ def chain(*transforms: Transform) -> Transform:
     return run
 
 
+def named() -> dict[str, Callable]:
+    """Transforms and predicates by name: those of this module and what ``register`` added."""
+    ours = (cast, extract_field, hoist_field, flatten, insert_field, mask_field, replace_field, value_to_key, set_schema_metadata, convert_timestamp, drop_headers, insert_header, header_from, regex_router, timestamp_router, drop_where, has_header_key, is_tombstone, topic_name_matches)
+    return {f.__name__: f for f in ours} | _REGISTERED
+
+
+_REGISTERED: dict[str, Callable] = {}
+
+
+def register(name: str):
+    """Adds a transform or predicate of one's own: a function of its settings that gives a transform, or a Column."""
+
+    def add(f: Callable) -> Callable:
+        _REGISTERED[name] = f
+        return f
+
+    return add
+
+
+def configured(steps: list[dict]) -> Transform:
+    """A chain from settings: each step has a ``type``, its arguments, and maybe ``predicate`` (a step) and ``negate``."""
+
+    def build(step: dict):
+        args = {k: v for k, v in step.items() if k not in ("type", "predicate", "negate")}
+        if step["type"] not in named():
+            raise ValueError(f"no transform {step['type']!r}")
+        if step["type"] == "drop_where":
+            return drop_where(build(step["predicate"]), step.get("negate", False))
+        made = named()[step["type"]](**args)
+        return only_where(build(step["predicate"]), made, step.get("negate", False)) if "predicate" in step else made
+
+    return chain(*[build(s) for s in steps])
+
+
 # --- schema projection
 
 #: Numbers widen from left to right.

@@ -8,12 +8,14 @@ watermark moves once a micro-batch.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.running import running
 from ..functions.times import epoch_millis
+from .aggregates import aggregate as fold_rows
 
 
 def interval(ms: int) -> Column:
@@ -72,6 +74,19 @@ def sessions(df: DataFrame, key: str | Sequence[str], ts: str, gap: str, *aggreg
     return df.dropna(subset=keys).groupBy(*keys, F.session_window(ts, gap).alias("_s")).agg(*aggregates, *bounds).drop("_s")
 
 
+def session_fold(df: DataFrame, key: str, ts: str, gap: str, value: str, initial: Column, aggregator: Callable[[Column, Column], Column], merger: Callable[[Column, Column], Column], order: str) -> DataFrame:
+    """Sessions as ``sessions`` forms them, each folded from ``initial``: key, start, end, aggregate.
+
+    ``merger`` joins the aggregates of neighbouring parts of a session. Numbering the sessions sorts a key.
+    """
+    by = Window.partitionBy(key).orderBy(ts, order)
+    fresh = F.coalesce(F.col(ts) > F.lag(ts).over(by) + F.expr(f"interval {gap}"), F.lit(True))
+    rows = df.dropna(subset=[key, value]).withColumn("_fresh", fresh.cast("long")).withColumn("_s", F.sum("_fresh").over(by))
+    bounds = rows.groupBy(key, "_s").agg(F.min(ts).alias("start"), F.max(ts).alias("end"))
+    in_order = rows.withColumn("_at", F.struct(ts, order))
+    return bounds.join(fold_rows(in_order, [key, "_s"], value, initial, aggregator, "_at", merger), [key, "_s"]).drop("_s")
+
+
 def cogroup_windowed(streams: dict[str, DataFrame], key: str, window: Column, aggregates: dict[str, Column]) -> DataFrame:
     """Several streams into one aggregate by key and window; see ``aggregates.cogroup``."""
     tagged = tag(streams, key)
@@ -118,13 +133,15 @@ def inherited_grace(*parents_ms: int | None) -> int:
     return max(known)
 
 
-def stream_time(df: DataFrame, ts: str, order: str, partition: str | Sequence[str] | None = None) -> DataFrame:
+def stream_time(df: DataFrame, ts: str, order: str, partition: str | Sequence[str] | None = None, block: Column | None = None) -> DataFrame:
     """Adds ``stream_time``: the highest ``ts`` up to and with each row, in arrival order within the partition.
 
     Stream time belongs to a task, that is to a partition of the log: name its columns, or else one task
-    sees all rows.
+    sees all rows. With ``block``, which grows with ``order``, a partition is worked on block by block.
     """
     parts = [] if partition is None else [partition] if isinstance(partition, str) else list(partition)
+    if block is not None:
+        return running(df, parts, [order], block, {"stream_time": ("max", F.col(ts))})
     return df.withColumn("stream_time", F.max(ts).over(Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
 
 
@@ -139,8 +156,13 @@ def on_window_update(rows: DataFrame, key: str, window: str, order: str, aggrega
     return rows.withColumn(name, aggregate.over(so_far))
 
 
-def on_window_close(results: DataFrame, end: Column, grace: str, now: Column) -> DataFrame:
-    """One final result per key and window, for windows that have closed by stream time ``now``."""
+def on_window_close(results: DataFrame, end: Column | None, grace: str, now: Column) -> DataFrame:
+    """One final result per key and window, for windows that have closed by stream time ``now``.
+
+    Unlimited windows never close: an ``end`` of None is refused.
+    """
+    if end is None:
+        raise ValueError("a window without an end never closes")
     return results.filter(end + F.expr(f"interval {grace}") < now)
 
 

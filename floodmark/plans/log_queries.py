@@ -4,19 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.running import numbers
 from ..functions.times import epoch_millis
 from ..operators import replication, stats, topics
-from .registry import query
+from .registry import arrival_block, query
 
 
 def log(t):
     """Events as a log: partition by user, gapless offsets of arrival."""
-    from pyspark.sql import Window
-
     part = (F.col("user_id") % 4).cast("int")
-    offset = F.row_number().over(Window.partitionBy(part).orderBy("event_id")) - 1
     value = F.when(F.col("event_type") != "error", F.col("event_type"))
-    return t.events.select(F.lit("events").alias("topic"), part.alias("partition"), offset.cast("long").alias("offset"), F.col("ts").alias("timestamp"), F.col("user_id").alias("key"), value.alias("value"), "event_id", F.length("props").alias("size"))
+    rows = t.events.select(F.lit("events").alias("topic"), part.alias("partition"), F.col("ts").alias("timestamp"), F.col("user_id").alias("key"), value.alias("value"), "event_id", F.length("props").alias("size"))
+    return numbers(rows, ["topic", "partition"], ["event_id"], arrival_block())
 
 
 LOG = "(SELECT 'events' AS topic, (user_id % 4)::INT AS partition, row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS off, ts, user_id AS key, CASE WHEN event_type <> 'error' THEN event_type END AS value, event_id, length(props) AS size FROM events)"
@@ -153,7 +152,7 @@ def sta1_sampled(t):
 
 @query("SELECT event_id, round(sum(value) OVER w, 2) AS cumulative_sum, count(value) OVER w AS cumulative_count FROM events WINDOW w AS (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING)")
 def sta3_cumulative(t):
-    return stats.cumulative(measured(t), "event_id").select("event_id", F.round("cumulative_sum", 2).alias("cumulative_sum"), "cumulative_count")
+    return stats.cumulative(measured(t), "event_id", block=arrival_block()).select("event_id", F.round("cumulative_sum", 2).alias("cumulative_sum"), "cumulative_count")
 
 
 @query("""SELECT metric, start, round(s / 3600, 8) AS simple_rate, round(sum(s) OVER (PARTITION BY metric ORDER BY start RANGE BETWEEN INTERVAL 2 HOUR PRECEDING AND CURRENT ROW) / 10800, 8) AS rate,

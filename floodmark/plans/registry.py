@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -22,6 +23,11 @@ def query(sql: str | None = None):
     return add
 
 
+def arrival_block(order: str = "event_id") -> Column:
+    """Blocks of 100,000 in the order of arrival, the unit of work of running results."""
+    return F.floor(F.col(order) / 100_000)
+
+
 class Tables:
     """The tables of a folder, read on first use; column pruning and filters reach the files."""
 
@@ -33,7 +39,7 @@ class Tables:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import log_queries, record_queries, stream_queries, table_queries  # noqa: F401
+    from . import log_queries, more_queries, record_queries, stream_queries, table_queries  # noqa: F401
 
     return _QUERIES
 

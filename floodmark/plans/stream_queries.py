@@ -8,7 +8,7 @@ from ..functions import reducers
 from ..functions.times import epoch_millis
 from ..operators import aggregates, stateless, windows
 from ..sources import records
-from .registry import query
+from .registry import arrival_block, query
 
 #: Late events: every seventh arrives three hours after its time.
 LATE_SQL = "(SELECT * REPLACE (CASE WHEN event_id % 7 = 0 THEN ts - INTERVAL 3 HOUR ELSE ts END AS ts) FROM events)"
@@ -76,7 +76,7 @@ def src10_multicast(t):
 
 @query("SELECT event_type AS topic, event_id, ((row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1) % 5)::INT AS partition FROM events")
 def src12_round_robin(t):
-    return records.round_robin(t.events.withColumn("topic", F.col("event_type")), 5, "event_id").select("topic", "event_id", "partition")
+    return records.round_robin(t.events.withColumn("topic", F.col("event_type")), 5, "event_id", block=arrival_block()).select("topic", "event_id", "partition")
 
 
 @query("SELECT '[events]: ' || user_id || ', ' || event_type AS value FROM events")
@@ -169,11 +169,8 @@ def agg1_word_count(t):
 
 @query("SELECT user_id, round(sum(value), 2) AS total, max(value) AS top, arg_min(event_type, event_id) AS first_type FROM events GROUP BY 1")
 def agg2_reduce(t):
-    e = t.events
-    total = aggregates.reduce_values(e, "user_id", "value", "sum").select("user_id", F.round("reduced", 2).alias("total"))
-    top = aggregates.reduce_values(e, "user_id", "value", "max").withColumnRenamed("reduced", "top")
-    first = aggregates.reduce_values(e, "user_id", "event_type", "first", "event_id").withColumnRenamed("reduced", "first_type")
-    return total.join(top, "user_id").join(first, "user_id")
+    out = aggregates.reduce_all(t.events, "user_id", {"total": ("value", "sum"), "top": ("value", "max"), "first_type": ("event_type", "first")}, "event_id")
+    return out.withColumn("total", F.round("total", 2))
 
 
 @query("SELECT conv_id, string_agg(role, '>' ORDER BY turn) AS reduced FROM conversations GROUP BY 1")
@@ -184,14 +181,14 @@ def agg2_ordered_fold(t):
 @query("SELECT conv_id, (10 + sum(length(text)))::BIGINT AS aggregate FROM conversations GROUP BY 1")
 def agg3_aggregate(t):
     lengths = t.conversations.withColumn("n", F.length("text").cast("long"))
-    return aggregates.aggregate(lengths, "conv_id", "n", F.lit(10).cast("long"), lambda a, x: a + x, "turn")
+    return aggregates.aggregate(lengths, "conv_id", "n", F.lit(10).cast("long"), lambda a, x: a + x, "turn", lambda a, b: a + b - 10)
 
 
 @query("""WITH m AS (SELECT user_id, max(event_id) FILTER (event_type = 'error') AS last_error FROM events GROUP BY 1)
 SELECT e.user_id, count(*)::BIGINT AS aggregate FROM events e JOIN m USING (user_id)
 WHERE last_error IS NULL OR event_id > last_error GROUP BY 1""")
 def agg4_reset_on_null(t):
-    return aggregates.aggregate(t.events, "user_id", "event_type", F.lit(0).cast("long"), lambda a, x: F.when(x != "error", a + 1), "event_id")
+    return aggregates.aggregate(t.events, "user_id", "event_type", F.lit(0).cast("long"), lambda a, x: F.when(x != "error", a + 1), "event_id", lambda a, b: a + b)
 
 
 @query("""SELECT key, count(*) FILTER (s = 'events') AS events, count(*) FILTER (s = 'orders') AS orders, round(sum(price), 2) AS spent
@@ -277,7 +274,7 @@ WHERE st <= time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR + INTERVAL 30 MIN
 
 
 def _on_time(t):
-    rows = windows.stream_time(late(t).withColumn("p", F.col("user_id") % 4), "ts", "event_id", "p").withColumn("window", windows.tumbling("ts", "1 hour"))
+    rows = windows.stream_time(late(t).withColumn("p", F.col("user_id") % 4), "ts", "event_id", "p", arrival_block()).withColumn("window", windows.tumbling("ts", "1 hour"))
     return windows.drop_late(rows, F.col("window.end"), "30 minutes")
 
 
@@ -301,7 +298,7 @@ def late4_final_results(t):
 
 @query(f"SELECT event_id, user_id FROM (SELECT *, max(ts) OVER (PARTITION BY user_id % 4 ORDER BY event_id) AS st FROM {LATE_SQL}) WHERE ts >= st - INTERVAL 1 HOUR")
 def late8_refuse_old(t):
-    rows = windows.stream_time(late(t).withColumn("p", F.col("user_id") % 4), "ts", "event_id", "p")
+    rows = windows.stream_time(late(t).withColumn("p", F.col("user_id") % 4), "ts", "event_id", "p", arrival_block())
     return windows.refuse_old(rows, "ts", "1 hour").select("event_id", "user_id")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import history, joins, stateless, tables, windows
-from .registry import query
+from .registry import arrival_block, query
 
 def gone():
     """Events as a changelog of users: an error deletes."""
@@ -87,13 +87,12 @@ def agg5_count_table(t):
 
 @query(f'SELECT event_type AS "group", round(sum(value), 2) AS sum FROM {LATEST} GROUP BY 1')
 def agg6_sum_table(t):
-    live = tables.count_table(signed(t)).filter("count > 0").select("group")
-    return tables.sum_table(signed(t), "value").join(live, "group").select("group", F.round("sum", 2).alias("sum"))
+    return tables.sum_table(signed(t), "value").filter("count > 0").select("group", F.round("sum", 2).alias("sum"))
 
 
 @query(f'SELECT event_id, g AS "group", (sum(sign) OVER (PARTITION BY g ORDER BY event_id, sign ROWS UNBOUNDED PRECEDING))::BIGINT AS count FROM {SIGNED}')
 def agg7_running_aggregate(t):
-    return tables.running_count(signed(t), "event_id").select("event_id", "group", "count")
+    return tables.running_count(signed(t), "event_id", arrival_block()).select("event_id", "group", "count")
 
 
 # --- joins
@@ -195,11 +194,11 @@ def joi8_global_left(t):
 
 
 TABLE_JOIN = """SELECT coalesce(l.user_id, r.k) AS user_id, l.event_type AS state, r.orders, greatest(l.ts, r.t) AS result_ts
-FROM {} l {} JOIN (SELECT o_custkey AS k, count(*) AS orders, max(o_orderdate) AS t FROM orders WHERE o_orderstatus = 'P' AND o_totalprice > 450000 GROUP BY 1) r ON l.user_id = r.k"""
+FROM {} l {} JOIN (SELECT o_custkey AS k, count(*) AS orders, max(o_orderdate) AS t FROM orders GROUP BY 1) r ON l.user_id = r.k"""
 
 
 def _table_join(t, how: str):
-    counted = t.orders.filter((F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > 450000)).groupBy(F.col("o_custkey").alias("user_id")).agg(F.count("*").alias("orders"), F.max("o_orderdate").alias("ts"))
+    counted = t.orders.groupBy(F.col("o_custkey").alias("user_id")).agg(F.count("*").alias("orders"), F.max("o_orderdate").alias("ts"))
     out = joins.table_join(users(t).select("user_id", "event_type", "ts"), counted, "user_id", how, "ts")
     return out.select("user_id", F.col("l_event_type").alias("state"), F.col("r_orders").alias("orders"), "result_ts")
 

@@ -6,11 +6,13 @@ come from a broker, since only the reader's format differs.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.running import numbers, running
+
 LOG_COLUMNS = ("topic", "partition", "offset", "timestamp", "timestampType", "key", "value", "headers")
 HEADERS = "array<struct<key:string,value:binary>>"
 
@@ -65,6 +67,14 @@ def start_at(log: DataFrame, position: str, duration: str | None = None) -> Data
     raise ValueError(f"no start position {position!r}")
 
 
+def consumed(log: DataFrame, key: Callable[[Column], Column] | None = None, value: Callable[[Column], Column] | None = None, timestamp: Column | str = "record", reset: str = "earliest", duration: str | None = None) -> DataFrame:
+    """A log as its reader wants it: decoders of key and value, where event time comes from, and where reading starts."""
+    out = start_at(log, reset, duration)
+    for name, decode in (("key", key), ("value", value)):
+        out = out if decode is None else out.withColumn(name, decode(F.col(name)))
+    return with_timestamp(out, timestamp)
+
+
 def with_timestamp(df: DataFrame, extractor: Column | str = "record", column: str = "timestamp") -> DataFrame:
     """Event time: the record's own, the wall clock, or an expression over the record."""
     if isinstance(extractor, str):
@@ -130,8 +140,11 @@ def partition_windowed(df: DataFrame, partitions: int, key: str = "key") -> Data
     return df.repartition(partitions, key)
 
 
-def round_robin(df: DataFrame, partitions: int, order: Column | str, group: str = "topic") -> DataFrame:
-    """Partition numbers in turn, in the given order within each topic."""
+def round_robin(df: DataFrame, partitions: int, order: Column | str, group: str = "topic", block: Column | None = None) -> DataFrame:
+    """Partition numbers in turn, in the given order within each topic; block by block if ``block`` is given."""
+    if block is not None:
+        turns = numbers(df, [group], [_c(order)], block, "_turn")
+        return turns.withColumn("partition", (F.col("_turn") % partitions).cast("int")).drop("_turn")
     turn = F.row_number().over(Window.partitionBy(group).orderBy(_c(order))) - 1
     return df.withColumn("partition", (turn % partitions).cast("int"))
 
@@ -193,6 +206,17 @@ def read_lines(spark: SparkSession, path: str, topic: str, streaming: bool = Fal
     return lines.select(F.lit(topic).alias("topic"), "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("position"))
 
 
+def line_positions(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of text files with ``file`` and ``position``, the byte a line starts at (lines end in one line feed).
+
+    Lines are counted within the block a task reads, and block totals within a file carry on, so a long file is many tasks.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    rows = lines.withColumns({"_n": F.monotonically_increasing_id(), "_size": F.octet_length("value").cast("long") + 1})
+    out = running(rows, ["file"], ["_n"], F.col("start"), {"position": ("sum", F.col("_size"))})
+    return out.select("value", "file", (F.col("position") - F.col("_size")).alias("position"))
+
+
 def write_lines(df: DataFrame, path: str, column: str = "value") -> None:
     df.select(F.col(column).cast("string")).write.mode("append").text(path)
 
