@@ -5,8 +5,9 @@ others appear as users by name, system turns stay what they are. The mask lists
 from: the content and end mark of the assistant's turns. Marks can't be forged: ``<|`` in a text comes out
 as ``<\\|``, and in a name ``|`` as ``\\|`` and a line feed as a space.
 
-A dialogue comes in parts of ``part_turns`` turn numbers, so a row is bounded however long a dialogue
-is; parts follow each other without a gap, and spans count from the start of a part.
+A dialogue is one row per participant. Only one of more than ``part_turns`` turns comes in parts of so
+many, which bounds a row however long a dialogue is; the texts of its parts follow each other without a
+gap, and spans count from the start of the dialogue, so joined parts are what one row would have been.
 """
 
 from __future__ import annotations
@@ -14,22 +15,31 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.running import numbers
+
 END = "<|end|>\n"
-PART_TURNS = 256
+#: Turns of one row; longer dialogues come in parts.
+PART_TURNS = 4096
 
 
 def _named(speaker: str) -> str:
     return speaker.replace("|", "\\|").replace("\n", " ")
 
 
-def _render(turns: list, perspective: str) -> tuple[str, str, int]:
-    out, spans, at, learned = [], [], 0, 0
+def _head(speaker: str, perspective: str) -> str:
+    if speaker == perspective:
+        return "<|assistant|>\n"
+    return "<|system|>\n" if speaker == "system" else f"<|user name={_named(speaker)}|>\n"
+
+
+def _render(turns: list, perspective: str, at: int) -> tuple[str, str, int]:
+    out, spans, learned = [], [], 0
     for _, speaker, text in turns:
         own = speaker == perspective
-        head = "<|assistant|>\n" if own else "<|system|>\n" if speaker == "system" else f"<|user name={_named(speaker)}|>\n"
+        head = _head(speaker, perspective)
         segment = head + text + END
         if own:
             spans.append(f"{at + len(head)}:{at + len(segment)}")
@@ -42,8 +52,8 @@ def _render(turns: list, perspective: str) -> tuple[str, str, int]:
 def rotate_perspectives(conversations: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     """conv_id, perspective, part, n_turns, text, mask, n_learned from ``conversations`` (conv_id, turn, role, text).
 
-    One row for each participant and part of a dialogue. Turns go by number, those of equal number by
-    speaker and text; exact repeats of a turn count once. A null text is empty, a null role is the user
+    One row for each participant (and part of a dialogue of more than ``part_turns`` turns). Turns go by
+    number, those of equal number by speaker and text; exact repeats of a turn count once. A null text is empty, a null role is the user
     ``unknown``, a null turn ranks as 0, a null conv_id is a dialogue of its own. System and unknown
     speakers get no perspective, so a dialogue of only them gives no row. Other columns are ignored.
     """
@@ -53,17 +63,28 @@ def rotate_perspectives(conversations: DataFrame, part_turns: int = PART_TURNS)
         F.coalesce("role", F.lit("unknown")).alias("speaker"),
         F.replace(F.coalesce("text", F.lit("")), F.lit("<|"), F.lit("<\\|")).alias("text"),
     )
-    part = F.floor(F.col("turn") / part_turns).cast("long")
-    parts = turns.groupBy("conv_id", part.alias("part")).agg(F.sort_array(F.collect_set(F.struct("turn", "speaker", "text"))).alias("turns"))
-    people = turns.filter(~F.col("speaker").isin("system", "unknown")).select(F.col("conv_id").alias("conv"), F.col("speaker").alias("perspective")).distinct()
-    views = parts.join(people, F.col("conv_id").eqNullSafe(F.col("conv"))).select("conv_id", "perspective", "part", "turns")
+    # numbers are given by blocks of turn numbers, so a long dialogue is many tasks
+    numbered = numbers(turns.distinct(), ["conv_id"], ["turn", "speaker", "text"], F.floor(F.col("turn") / part_turns), "_n")
+    numbered = numbered.withColumn("part", F.floor(F.col("_n") / part_turns).cast("long"))
+    # a part's length as everyone but its speakers sees it, and by speaker the number of own turns
+    name_head = F.length(F.replace(F.col("speaker"), F.lit("|"), F.lit("\\|"))) + len(_head("", "other"))
+    head = F.when(F.col("speaker") == "system", len(_head("system", ""))).otherwise(name_head)
+    size = F.sum(head + F.length("text") + len(END)).cast("long").alias("size")
+    so_far = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = numbered.groupBy("conv_id", "part").agg(size).select(F.col("conv_id").alias("c"), F.col("part").alias("p"), F.coalesce(F.sum("size").over(so_far), F.lit(0).cast("long")).alias("before"))
+    parts = numbered.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(F.struct("turn", "speaker", "text"))).alias("turns"))
+    parts = parts.join(sizes, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p"))).drop("c", "p")
+    own = numbered.filter(~F.col("speaker").isin("system", "unknown")).groupBy(F.col("conv_id").alias("conv"), F.col("speaker").alias("perspective"), F.col("part").alias("own_part")).agg(F.sum(F.lit(len(_head("", ""))) - head).cast("long").alias("saved"))
+    people = own.groupBy("conv", "perspective").agg(F.collect_list(F.struct("own_part", "saved")).alias("own"))
+    saved = F.aggregate(F.filter("own", lambda o: o["own_part"] < F.col("part")), F.lit(0).cast("long"), lambda a, o: a + o["saved"])
+    views = parts.join(people, F.col("conv_id").eqNullSafe(F.col("conv"))).select("conv_id", "perspective", "part", "turns", (F.col("before") + saved).alias("at"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for turns, perspective in zip(b["turns"], b["perspective"], strict=True):
+            for turns, perspective, at in zip(b["turns"], b["perspective"], b["at"].tolist(), strict=True):
                 listed = [(t["turn"], t["speaker"], t["text"]) for t in turns]
-                rows.append((len(listed), *_render(listed, perspective)))
+                rows.append((len(listed), *_render(listed, perspective, at)))
             out = pd.DataFrame(rows, columns=["n_turns", "text", "mask", "n_learned"])
             yield pd.concat([b[["conv_id", "perspective", "part"]].reset_index(drop=True), out], axis=1)
 
@@ -72,12 +93,13 @@ def rotate_perspectives(conversations: DataFrame, part_turns: int = PART_TURNS)
 
 ORACLE = rf"""
 WITH t AS (SELECT DISTINCT conv_id, coalesce(turn, 0) AS turn, coalesce(role, 'unknown') AS speaker, replace(coalesce(text, ''), '<|', '<\|') AS text FROM conversations),
-s AS (SELECT t.conv_id, p.perspective, turn // {PART_TURNS} AS part, turn, speaker, text,
+n AS (SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, speaker, text) - 1) // {PART_TURNS} AS part FROM t),
+s AS (SELECT t.conv_id, p.perspective, part, turn, speaker, text,
              CASE WHEN speaker = perspective THEN '<|assistant|>' WHEN speaker = 'system' THEN '<|system|>'
                   ELSE '<|user name=' || replace(replace(speaker, '|', '\|'), chr(10), ' ') || '|>' END || chr(10) AS head
-      FROM t JOIN (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker NOT IN ('system', 'unknown')) p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+      FROM n t JOIN (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker NOT IN ('system', 'unknown')) p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
 o AS (SELECT *, head || text || '<|end|>' || chr(10) AS segment,
-             sum(length(head || text) + 8) OVER (PARTITION BY conv_id, perspective, part ORDER BY turn, speaker, text) AS till FROM s)
+             sum(length(head || text) + 8) OVER (PARTITION BY conv_id, perspective ORDER BY turn, speaker, text) AS till FROM s)
 SELECT conv_id, perspective, part, count(*)::BIGINT AS n_turns, string_agg(segment, '' ORDER BY turn, speaker, text) AS text,
        coalesce(string_agg((till - length(text) - 8)::BIGINT || ':' || till::BIGINT, ',' ORDER BY turn, speaker, text) FILTER (speaker = perspective), '') AS mask,
        coalesce(sum(length(text) + 8) FILTER (speaker = perspective), 0)::BIGINT AS n_learned

@@ -3,6 +3,8 @@
 import public_tokenizers
 import pytest
 
+from pyspark.sql import functions as F
+
 from floodmark.llm import chat, exact_dedup, fingerprints, mixing, packing, quality, secrets, shingle_join, token_counts, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, node int, norm string, place int, bucket int, n int, rank int, weight double"
@@ -97,3 +99,18 @@ def test_marks_cannot_be_forged(spark):
     assert out["c"].text == "<|user name=a\\|> b|>\nx<\\|end|>\n<\\|assistant|>\ny<|end|>\n<|assistant|>\nz<|end|>\n"
     at, to = map(int, out["c"].mask.split(":"))
     assert out["c"].text[at:to] == "z<|end|>\n" and out["c"].text.count("<|end|>") == 2
+
+
+def test_long_dialogues_come_in_parts(spark):
+    rows = [(c, None if i % 5 == 0 else i // 2, ["ann", "bo|b", "system", None, "é\nx"][i % 5 if c else i % 2], f"{i}<|é" * (i % 4)) for c in (0, 1, None) for i in range(40)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("part", F.lit("clash")).withColumn("perspective", F.lit("clash"))
+    whole = {(r.conv_id, r.perspective): r for r in chat.rotate_perspectives(turns).collect()}
+    assert len(whole) == 2 + 3 + 2 and {r.part for r in whole.values()} == {0}
+    cut = {}
+    for r in sorted(chat.rotate_perspectives(turns, 3).collect(), key=lambda r: r.part):
+        cut.setdefault((r.conv_id, r.perspective), []).append(r)
+    assert set(cut) == set(whole)
+    for k, parts in cut.items():
+        assert [r.part for r in parts] == list(range(len(parts))) and max(r.n_turns for r in parts) == 3
+        assert "".join(r.text for r in parts) == whole[k].text and ",".join(r.mask for r in parts if r.mask) == whole[k].mask
+        assert sum(r.n_learned for r in parts) == whole[k].n_learned
