@@ -27,8 +27,9 @@ def running(df: DataFrame, group: Sequence[str], order: Sequence[str], block: Co
     inside = Window.partitionBy(*group, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumns({f"_v_{n}": _COMBINE[k](f"_v_{n}").over(inside) for n, (k, _) in results.items()})
     same = F.lit(True)
-    for c in [*group, "_block"]:
-        same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    for c in [*group, "_block"]:  # plain equality, where there are no nulls, needs no other shuffle than the window's
+        here, there = F.col(c), F.col(f"_g_{c}")
+        same = same & (here.eqNullSafe(there) if rows.schema[c].nullable else here == there)
     out = rows.join(totals, same, "left")
     done = {}
     for n, (k, _) in results.items():
