@@ -63,21 +63,25 @@ def rotate_perspectives(conversations: DataFrame, part_turns: int = PART_TURNS)
         F.coalesce("role", F.lit("unknown")).alias("speaker"),
         F.replace(F.coalesce("text", F.lit("")), F.lit("<|"), F.lit("<\\|")).alias("text"),
     )
-    # numbers are given by blocks of turn numbers, so a long dialogue is many tasks
-    numbered = numbers(turns.distinct(), ["conv_id"], ["turn", "speaker", "text"], F.floor(F.col("turn") / part_turns), "_n")
-    numbered = numbered.withColumn("part", F.floor(F.col("_n") / part_turns).cast("long"))
-    # a part's length as everyone but its speakers sees it, and by speaker the number of own turns
-    name_head = F.length(F.replace(F.col("speaker"), F.lit("|"), F.lit("\\|"))) + len(_head("", "other"))
-    head = F.when(F.col("speaker") == "system", len(_head("system", ""))).otherwise(name_head)
-    size = F.sum(head + F.length("text") + len(END)).cast("long").alias("size")
-    so_far = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = numbered.groupBy("conv_id", "part").agg(size).select(F.col("conv_id").alias("c"), F.col("part").alias("p"), F.coalesce(F.sum("size").over(so_far), F.lit(0).cast("long")).alias("before"))
-    parts = numbered.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(F.struct("turn", "speaker", "text"))).alias("turns"))
-    parts = parts.join(sizes, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p"))).drop("c", "p")
-    own = numbered.filter(~F.col("speaker").isin("system", "unknown")).groupBy(F.col("conv_id").alias("conv"), F.col("speaker").alias("perspective"), F.col("part").alias("own_part")).agg(F.sum(F.lit(len(_head("", ""))) - head).cast("long").alias("saved"))
-    people = own.groupBy("conv", "perspective").agg(F.collect_list(F.struct("own_part", "saved")).alias("own"))
-    saved = F.aggregate(F.filter("own", lambda o: o["own_part"] < F.col("part")), F.lit(0).cast("long"), lambda a, o: a + o["saved"])
-    views = parts.join(people, F.col("conv_id").eqNullSafe(F.col("conv"))).select("conv_id", "perspective", "part", "turns", (F.col("before") + saved).alias("at"))
+    # Numbers are given by blocks of turn numbers, so a long dialogue is many tasks.
+    keyed = turns.distinct().select(F.struct("conv_id").alias("conv"), "turn", "speaker", "text")
+    numbered = numbers(keyed, ["conv"], ["turn", "speaker", "text"], F.shiftright("turn", 12), "_n")
+    part = F.floor(F.col("_n") / part_turns).cast("long").alias("part")
+    parts = numbered.groupBy("conv", part).agg(F.sort_array(F.collect_list(F.struct("turn", "speaker", "text"))).alias("turns"))
+    # What a part is long for those who don't speak in it, and what its own head saves each speaker.
+    head = lambda speaker: F.when(speaker == "system", len(_head("system", ""))).otherwise(F.length(F.replace(speaker, F.lit("|"), F.lit("\\|"))) + len(_head("", "other")))
+    total = lambda sizes: F.aggregate(sizes, F.lit(0).cast("long"), lambda a, n: a + n)
+    size = total(F.transform("turns", lambda t: head(t["speaker"]) + F.length(t["text"]) + len(END)))
+    speakers = F.array_distinct(F.transform("turns", lambda t: t["speaker"]))
+    saved = lambda who: total(F.transform(F.filter("turns", lambda t: t["speaker"] == who), lambda t: len(_head("", "")) - head(t["speaker"])))
+    narrow = parts.select("conv", "part", size.alias("size"), F.transform(speakers, lambda who: F.struct(who.alias("who"), saved(who).alias("saved"))).alias("own"))
+    so_far = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    places = narrow.select(F.col("conv").alias("c"), F.col("part").alias("p"), F.coalesce(F.sum("size").over(so_far), F.lit(0).cast("long")).alias("before"))
+    own = narrow.select("conv", "part", F.inline("own")).filter(~F.col("who").isin("system", "unknown"))
+    people = own.groupBy(F.col("conv").alias("k"), F.col("who").alias("perspective")).agg(F.collect_list(F.struct("part", "saved")).alias("own"))
+    earlier = total(F.transform(F.filter("own", lambda o: o["part"] < F.col("part")), lambda o: o["saved"]))
+    views = parts.join(places, (F.col("conv") == F.col("c")) & (F.col("part") == F.col("p"))).join(people, F.col("conv") == F.col("k"))
+    views = views.select("conv.conv_id", "perspective", "part", "turns", (F.col("before") + earlier).alias("at"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
