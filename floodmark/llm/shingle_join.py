@@ -27,6 +27,9 @@ most a ninth of the sum of their sizes. Both are exact: no link is lost.
 
 Words, shingles and sets are compared by 64-bit hashes. A word's hash mixes its bytes eight by eight, a
 set's hash has 64 more bits beside it, and sets that share the first but not the second are told apart.
+
+A set moves to its comparisons as its compressed text, which is shorter than its hashes, and is built again
+there.
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -418,10 +422,10 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from lists.feed([np.concatenate([np.zeros(0, k), *[x.column(c).to_numpy(zero_copy_only=False) for x in held]]) for c, k in zip(names, kinds, strict=True)], True)
 
 
-# --- third pass: the sets of candidates, and comparing pairs
+# --- third pass: the sets of candidates, as packed texts, and comparing pairs
 
-SETS = "doc_id long, node long, n int, sketch binary, wide binary, shingles binary"
-_SETS = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("sketch", pa.binary()), ("wide", pa.binary()), ("shingles", pa.binary())])
+SETS = "doc_id long, node long, n int, sketch binary, wide binary, packed binary"
+_SETS = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("sketch", pa.binary()), ("wide", pa.binary()), ("packed", pa.binary())])
 
 
 def width_of(n: int) -> int:
@@ -444,13 +448,13 @@ def _setter(shared, node_bits: int = 64):
     """``shared`` holds the map of chosen documents and the clashing nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, done = Shingler(), set()
+        shingler, packer, done = Shingler(), zstandard.ZstdCompressor(), set()
         found, clashes = shared.value
         for b in batches:
             chosen = in_bitmap(b.column("place").to_numpy().view(np.uint64), found)
             ids, nodes, sizes, sketches, wide, whole, held = [], [], [], [], [], [], 0
-            named = b.column("doc_id").filter(pa.array(chosen)).to_pylist()
-            for doc_id, s in zip(named, shingler.sets(b.column("text").filter(pa.array(chosen))), strict=True):
+            named, texts = (b.column(c).filter(pa.array(chosen)) for c in ("doc_id", "text"))
+            for doc_id, text, s in zip(named.to_pylist(), texts, shingler.sets(texts), strict=True):
                 node, _ = node_of(s, node_bits, clashes)
                 if (doc_id, node) in done or len(s) < 2:
                     continue
@@ -461,13 +465,13 @@ def _setter(shared, node_bits: int = 64):
                 widest = sketch_of(s, width_of(len(s)))
                 sketches.append(folded(widest, SKETCH // 8).tobytes())
                 wide.append(widest.tobytes() if len(widest) > SKETCH // 8 else None)
-                whole.append(s.tobytes())
+                whole.append(packer.compress(text.as_buffer()))
                 held += len(s)
                 if held >= HELD:
-                    yield _batch(_SETS, doc_id=ids, node=nodes, n=sizes, sketch=sketches, wide=wide, shingles=whole)
+                    yield _batch(_SETS, doc_id=ids, node=nodes, n=sizes, sketch=sketches, wide=wide, packed=whole)
                     ids, nodes, sizes, sketches, wide, whole, held = [], [], [], [], [], [], 0
             if nodes:
-                yield _batch(_SETS, doc_id=ids, node=nodes, n=sizes, sketch=sketches, wide=wide, shingles=whole)
+                yield _batch(_SETS, doc_id=ids, node=nodes, n=sizes, sketch=sketches, wide=wide, packed=whole)
             pa.default_memory_pool().release_unused()
 
     return run
@@ -495,19 +499,22 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.select(["a", "b"]).filter(pa.array(ok))
 
 
+#: Packed texts that are opened together.
+UNPACKED = 16
+
+
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def whole(column: pa.Array) -> tuple[list[int], np.ndarray]:
-        _, offsets, data = column.buffers()
-        ends = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
-        return ends.tolist(), np.frombuffer(data, np.uint8)
+    shingler, unpacker = Shingler(), zstandard.ZstdDecompressor()
+
+    def sets(column: pa.Array) -> Iterator[np.ndarray]:
+        for k in range(0, len(column), UNPACKED):
+            texts = [unpacker.decompress(x.as_buffer()) for x in column.slice(k, UNPACKED)]
+            yield from shingler.sets(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
 
     for b in batches:
-        if not b.num_rows:
-            continue
         keep = np.zeros(b.num_rows, bool)
-        (x, left), (y, right) = whole(b.column("sa")), whole(b.column("sb"))
-        for k in range(b.num_rows):
-            both = np.concatenate([left[x[k] : x[k + 1]], right[y[k] : y[k + 1]]]).view(np.uint64)
+        for k, (x, y) in enumerate(zip(sets(b.column("sa")), sets(b.column("sb")), strict=True)):
+            both = np.concatenate([x, y])
             both.sort()
             shared = np.count_nonzero(both[1:] == both[:-1])
             keep[k] = 100 * shared >= 80 * (len(both) - shared)
@@ -541,7 +548,7 @@ def bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The linked ones of ``pairs`` (a, b)."""
-    return written(_joined(pairs, sets, shingles=("sa", "sb")).mapInArrow(_linked, "a long, b long").distinct(), "jaccard-links")
+    return written(_joined(pairs, sets, packed=("sa", "sb")).mapInArrow(_linked, "a long, b long").distinct(), "jaccard-links")
 
 
 # --- components
