@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact_dedup, fingerprints, mixing, packing, quality, secrets, shingle_join, token_counts, warc
+from . import chat, decontamination, exact_dedup, fingerprints, mixing, packing, quality, secrets, shingle_join, token_counts, warc
 from .common import table
 
 
@@ -49,10 +49,15 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
     ops = (
         op1_secret_scans, op2_token_counts, op3_mixing, op4_quality_classifier, op5_chat_formatting,
         op6_exact_dedup, op7_jaccard_join, op8_best_fit_packing, op9_warc, op10_fingerprints,
+        op11_decontamination,
     )
     return {f.__name__: f for f in ops}
 
@@ -63,4 +68,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_chat_formatting": chat.ORACLE,
         "op6_exact_dedup": exact_dedup.ORACLE,
         "op9_warc": warc.ORACLE,
+        "op11_decontamination": decontamination.ORACLE,
     }
