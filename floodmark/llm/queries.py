@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, exact_dedup, fingerprints, mixing, packing, quality, secrets, shingle_join, token_counts, warc
+from . import alignment, chat, decontamination, exact_dedup, fingerprints, mixing, packing, quality, secrets, shingle_join, token_counts, warc
 from .common import table
 
 
@@ -53,11 +53,15 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def queries() -> dict:
     ops = (
         op1_secret_scans, op2_token_counts, op3_mixing, op4_quality_classifier, op5_chat_formatting,
         op6_exact_dedup, op7_jaccard_join, op8_best_fit_packing, op9_warc, op10_fingerprints,
-        op11_decontamination,
+        op11_decontamination, op13_token_alignment,
     )
     return {f.__name__: f for f in ops}
 
