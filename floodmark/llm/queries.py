@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import alignment, chat, decontamination, exact_dedup, fingerprints, mixing, packing, quality, secrets, shingle_join, token_counts, warc
+from . import alignment, chat, decontamination, exact_dedup, fingerprints, hard_negatives, mixing, packing, quality, secrets, shingle_join, token_counts, warc
 from .common import table
 
 
@@ -53,6 +54,11 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.relabelled(table(spark, sf_dir, "embeddings"))
+    return hard_negatives.mine_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -61,7 +67,7 @@ def queries() -> dict:
     ops = (
         op1_secret_scans, op2_token_counts, op3_mixing, op4_quality_classifier, op5_chat_formatting,
         op6_exact_dedup, op7_jaccard_join, op8_best_fit_packing, op9_warc, op10_fingerprints,
-        op11_decontamination, op13_token_alignment,
+        op11_decontamination, op12_hard_negatives, op13_token_alignment,
     )
     return {f.__name__: f for f in ops}
 
@@ -73,4 +79,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_exact_dedup": exact_dedup.ORACLE,
         "op9_warc": warc.ORACLE,
         "op11_decontamination": decontamination.ORACLE,
+        "op12_hard_negatives": hard_negatives.ORACLE,
     }
