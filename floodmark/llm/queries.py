@@ -43,7 +43,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archive_round_trip(table(spark, sf_dir, "pages")).drop("segments", "error")
+    return warc.archive_round_trip(table(spark, sf_dir, "pages")).drop("segments", "error", "record_id")
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,8 @@ first record and ``continuation`` records with the segment numbers and the total
 standard. Archives are gzip files written by Spark's text writer, whose line separator is the blank
 lines that end a record.
 
-Reading: each archive is parsed by content lengths. Only segments cross the network: they are grouped
+Reading: each archive is opened piece by piece, gzip member by member, and parsed by content lengths; a task
+holds the compressed file and one record. Only segments cross the network: they are grouped
 by the record they continue, ordered by number, their total length is verified, and the chunked body is
 decoded and its digest checked against the header. A record that fails says so in ``error``.
 """
@@ -32,8 +33,8 @@ DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: A lookup of the groups of equal payloads is broadcast up to so many rows (80 bytes each).
 BROADCAST_ROWS = 50_000
-
-
+#: How a gzip member starts; compressed bytes opened at a time; bytes of blocks handed on at a time.
+GZIP, PART, HELD = b"\x1f\x8b\x08", 1 << 16, 16 << 20
 
 def _cut(data: bytes, size: int) -> Iterator[bytes]:
     """Pieces of at most ``size`` bytes that end between characters; a long character may exceed it."""
@@ -140,44 +141,151 @@ def write_archives(
     writer.option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
 
 
-def _parse(data: bytes) -> Iterator[tuple[dict[bytes, bytes], bytes]]:
-    at = 0
+def _opened(content: bytes) -> Iterator[tuple[bytes, bool, str | None]]:
+    """The bytes of an archive, piece by piece: each with whether a gzip member starts with it, and what is wrong.
+
+    All members are read, one after the other, as the standard has one for each record; one that is
+    broken is given up, and reading goes on where the next one seems to start.
+    """
+    data, at = memoryview(content), 0
+    if content[:2] != GZIP[:2]:
+        yield content, True, None
+        return
     while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].split(b"\r\n")
+        member, member_at, first = zlib.decompressobj(31), at, True
+        try:
+            while not member.eof and at < len(data):
+                part = data[at : at + PART]
+                out = member.decompress(part)
+                at += len(part) - len(member.unused_data)
+                if out or first:
+                    yield out, first, None
+                first = False
+            if not member.eof:
+                yield b"", False, "archive ends within a gzip member"
+        except zlib.error as e:
+            found = content.find(GZIP, member_at + 1)
+            at = len(data) if found < 0 else found
+            yield b"", False, f"broken gzip member: {e}"
+        while at < len(data) and data[at] == 0:  # padding
+            at += 1
+
+
+def _fields(lines: list[bytes]) -> dict[bytes, bytes]:
+    """Header fields by lower-case name; a line that starts with a blank goes on with the one before."""
+    fields, name = {}, None
+    for x in lines:
+        if x[:1] in (b" ", b"\t") and name is not None:
+            fields[name] += b" " + x.strip()
+        else:
+            name, _, v = x.partition(b":")
+            name = name.strip().lower()
+            fields[name] = v.strip()
+    return fields
+
+
+class _Reader:
+    """Records of an archive as (head, block, None), or (None, b"", what is wrong) where there should be one."""
+
+    def __init__(self, content: bytes):
+        self.pieces, self.wrong = _opened(content), []
+        self.buffer, self.base, self.members = bytearray(), 0, []  # base: the place of the buffer's first byte
+
+    def more(self) -> bool:
+        for piece, first, wrong in self.pieces:
+            if wrong:
+                self.wrong.append(wrong)
+            if first:
+                self.members.append(self.base + len(self.buffer))
+            if piece:
+                self.buffer += piece
+                return True
+        return False
+
+    def find(self, what: bytes, at: int) -> int:
+        """The place of ``what`` in the buffer from ``at`` on, -1 if it doesn't come any more."""
+        while (found := self.buffer.find(what, at)) < 0:
+            at = max(at, len(self.buffer) - len(what) + 1)
+            if not self.more():
+                return -1
+        return found
+
+    def drop(self, n: int) -> None:
+        del self.buffer[:n]
+        self.base += n
+        self.members = [m for m in self.members if m >= self.base]
+
+    def record(self) -> tuple[dict[bytes, bytes], bytes, int]:
+        """Head, block and whole size of the record at the start of the buffer."""
+        end = self.find(b"\r\n\r\n", 0)
+        if end < 0:
+            raise ValueError(f"archive ends within a record at byte {self.base}")
+        lines = bytes(self.buffer[:end]).split(b"\r\n")
         if not lines[0].startswith(b"WARC/"):
-            raise ValueError(f"no WARC record at byte {at}")
-        head = {k.lower(): v.strip() for k, _, v in (x.partition(b":") for x in lines[1:])}
-        size = int(head[b"content-length"])
-        block = data[end + 4 : end + 4 + size]
-        if len(block) != size or data[end + 4 + size : end + 8 + size] != b"\r\n\r\n":
-            raise ValueError(f"record at byte {at} is not of its stated length")
+            raise ValueError(f"no WARC record at byte {self.base}")
+        head = _fields(lines[1:])
+        if not head.get(b"content-length", b"").isdigit() or b"warc-type" not in head or b"warc-record-id" not in head:
+            raise ValueError(f"record at byte {self.base} lacks its length, type or id")
+        size = end + 4 + int(head[b"content-length"])
+        while len(self.buffer) < size + 4 and self.more():
+            pass
+        if bytes(self.buffer[size : size + 4]) != b"\r\n\r\n":
+            raise ValueError(f"record at byte {self.base} is not of its stated length")
+        return head, bytes(self.buffer[end + 4 : size]), size + 4
+
+    def resume(self) -> int:
+        """Where, after a record that is no good, another one may start: with a member or after a line's end."""
+        found = self.find(b"\nWARC/", 0)
+        members = [m - self.base for m in self.members if m > self.base]
+        return min([len(self.buffer) if found < 0 else found + 1, *members])
+
+    def __iter__(self) -> Iterator[tuple[dict[bytes, bytes] | None, bytes, str | None]]:
+        while self.buffer or self.more():
+            blank = len(self.buffer) - len(self.buffer.lstrip(b"\r\n"))
+            if blank:  # more blank lines than the standard asks for
+                self.drop(blank)
+                continue
+            try:
+                head, block, size = self.record()
+                yield head, block, None
+            except ValueError as e:
+                yield None, b"", str(e)
+                size = self.resume()
+            self.drop(size)
+        for wrong in self.wrong:
+            yield None, b"", wrong
+
+
+def _parse(data: bytes) -> Iterator[tuple[dict[bytes, bytes], bytes]]:
+    """The records of an archive that has nothing wrong."""
+    for head, block, wrong in _Reader(data):
+        if wrong:
+            raise ValueError(wrong)
         yield head, block
-        at = end + 8 + size
 
 
-def _payload(block: bytes) -> tuple[bytes | None, int]:
+def _payload(block: bytes, kind: str = "response", http: bool = True) -> tuple[bytes | None, int]:
     """The decoded payload, or None and the stated length for a message without one."""
+    if not http:
+        return block, len(block)
     head, _, body = block.partition(b"\r\n\r\n")
-    fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(b":") for x in head.split(b"\r\n")[1:])}
-    if fields.get(b"transfer-encoding") == b"chunked":
+    fields = _fields(head.split(b"\r\n")[1:])
+    if fields.get(b"transfer-encoding", b"").lower() == b"chunked":
         payload = _unchunked(body)
         return payload, len(payload)
-    return None, int(fields.get(b"content-length", b"0"))
+    if kind == "revisit":
+        return None, int(fields.get(b"content-length", b"0"))
+    return body, len(body)
 
 
 def _digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _urn(value: bytes | None) -> str | None:
-    return None if value is None else value.decode().strip("<>")
-
-
-def _decoded(block: bytes, stated: str | None) -> tuple[int, str | None, str | None]:
+def _decoded(block: bytes, stated: str | None, kind: str = "response", http: bool = True) -> tuple[int, str | None, str | None]:
     """Payload length, digest and error of a whole block."""
     try:
-        payload, n = _payload(block)
+        payload, n = _payload(block, kind, http)
     except (ValueError, IndexError) as e:
         return 0, stated, f"bad framing: {e}"
     if payload is None:
@@ -196,22 +304,35 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=COLUMNS).astype(WHOLE_NUMBERS)
 
 
+def _row(head: dict[bytes, bytes], block: bytes) -> tuple:
+    text = lambda name: head[name].decode(errors="replace") if name in head else None
+    record, kind = text(b"warc-record-id").strip("<>"), text(b"warc-type")
+    origin = (text(b"warc-segment-origin-id") or record).strip("<>")
+    refers = (text(b"warc-refers-to") or "").strip("<>") or None
+    stated = text(b"warc-payload-digest") or ""
+    digest = stated.removeprefix("sha1:") or None if stated.startswith("sha1:") or ":" not in stated else None
+    number, total = text(b"warc-segment-number"), text(b"warc-segment-total-length")
+    http = head.get(b"content-type", b"application/http").lower().startswith(b"application/http")
+    if number is None:
+        n, digest, error = _decoded(block, digest, kind, http)
+        return origin, kind, refers, None, None, digest, None, n, 1, error
+    if not number.isdigit() or total is not None and not total.isdigit():
+        return origin, kind, refers, None, None, digest, None, 0, 1, "segment without a number"
+    return origin, kind, refers, int(number), None if total is None else int(total), digest, block, None, None, None
+
+
 def _parse_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         for content in b["content"]:
-            rows = []
-            for head, block in _parse(zlib.decompress(content, 31) if content[:2] == b"\x1f\x8b" else content):
-                record, kind = _urn(head[b"warc-record-id"]), head[b"warc-type"].decode()
-                origin = _urn(head.get(b"warc-segment-origin-id")) or record
-                digest = head.get(b"warc-payload-digest", b"").decode().removeprefix("sha1:") or None
-                refers = _urn(head.get(b"warc-refers-to"))
-                number, total = head.get(b"warc-segment-number"), head.get(b"warc-segment-total-length")
-                if number is None:
-                    n, digest, error = _decoded(block, digest)
-                    rows.append((origin, kind, refers, None, None, digest, None, n, 1, error))
-                else:
-                    rows.append((origin, kind, refers, int(number), None if total is None else int(total), digest, block, None, None, None))
-            yield _frame(rows)
+            rows, held = [], 0
+            for head, block, wrong in _Reader(content):
+                rows.append(_row(head, block) if wrong is None else (None, None, None, None, None, None, None, 0, 1, wrong))
+                held += len(block)
+                if held > HELD or len(rows) >= 2000:
+                    yield _frame(rows)
+                    rows, held = [], 0
+            if rows:
+                yield _frame(rows)
 
 
 def _reassemble(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
@@ -227,21 +348,24 @@ def _reassemble(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     elif int(total.iloc[0]) != len(block):
         error = f"{len(block)} bytes in place of {int(total.iloc[0])}"
     else:
-        n, digest, error = _decoded(block, first["digest"])
+        n, digest, error = _decoded(block, first["digest"], first["kind"])
     return _frame([(key[0], first["kind"], first["refers_to"], None, None, digest, None, n, len(parts), error)] * repeats)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """The pages of the archives at ``path``: page_id, payload_bytes, payload_digest, record_type, refers_to, segments, error.
 
-    Each file is parsed whole in a task, so an archive has to fit in a task's memory; ``write_archives``
-    bounds the records of a file. A record with missing, repeated or short segments, broken chunks or
-    another digest than stated has ``error`` set and payload_bytes 0 where nothing could be decoded.
+    Archives of other writers are read as well, a gzip member for each record or one for all: their
+    records have a null page_id. Each compressed file has to fit in a task's memory; ``write_archives``
+    bounds a file by its records, each a segment of bounded size. A record with missing, repeated or short
+    segments, broken chunks or another digest than stated has ``error`` set and payload_bytes 0 where
+    nothing could be decoded. Where no record can be made out there is a row with ``error`` alone, and
+    reading goes on with the next record. Bodies that aren't chunked are payloads as they are.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
     parsed = written(files.mapInPandas(_parse_files, PARSED), "warc-parsed")
     joined = parsed.filter("segment is not null").groupBy("record_id").applyInPandas(_reassemble, PARSED)
-    page = lambda c: F.split_part(F.col(c), F.lit(":"), F.lit(3)).try_cast("long")
+    page = lambda c: F.when(F.col(c).startswith("urn:page:"), F.split_part(F.col(c), F.lit(":"), F.lit(3)).try_cast("long"))
     return parsed.filter("segment is null").unionByName(joined).select(
         page("record_id").alias("page_id"),
         F.col("n").alias("payload_bytes"),
@@ -250,6 +374,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         page("refers_to").alias("refers_to"),
         "segments",
         "error",
+        "record_id",
     )
 
 
