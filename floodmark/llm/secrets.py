@@ -4,7 +4,7 @@ Base patterns run over every text. On top, lines that hold an assignment sign ar
 literals and operators; a small pass turns them into name-literal pairs: ``name = "a" + "b"`` (scored as one
 literal, a span for each part), ``"name": value``, ``NAME: value``, ``name => value``, ``--name=value``,
 ``names["name"] = value``, ``setName("value")``. A sign at the end of a line takes its value from the next
-line. A name bound to another name
+line; each line of a text in three quotes, and of a block under ``name: |``, is a literal of its name. A name bound to another name
 takes over its literals (constant propagation through the whole text, forward references included).
 A literal is scored by how sensitive the names are that it reaches and by its own shape; the literals
 that score high enough are added as spans of the kind ``literal``. Base spans always stay.
@@ -39,11 +39,17 @@ PLACEHOLDERS = frozenset("changeme example placeholder password secret token non
 #: A literal whose name weight and shape weight add up to this is a finding.
 THRESHOLD = 6
 
-TOKEN = re.compile(
-    r"""(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)"""
-    r"""|(?P<sign>:=|=>|==|!=|<=|>=|[:=])|(?P<plus>\+|\.\.)"""
+#: Strings by their quote; one that isn't closed on its line is none.
+STRINGS = {'"': r'"(?:[^"\\\n]|\\.)*"', "'": r"'(?:[^'\\\n]|\\.)*'", "`": r"`[^`\n]*`"}
+REST = (
+    r"""|(?P<quote>["'`])|(?P<sign>:=|=>|==|!=|<=|>=|[:=])|(?P<plus>\+|\.\.)"""
     r"""|(?P<word>[A-Za-z_$@][\w$.-]*|[^\s"'`:=+,;(){}\[\]<>]+)|(?P<end>[,;(){}\[\]<>])"""
 )
+#: By the quotes that may open a string: one that stays open makes all later ones of its kind on the line stay so.
+TOKENS = {q: re.compile("(?P<string>" + ("|".join(STRINGS[x] for x in q) or "(?!)") + ")" + REST) for q in ("\"'`", "\"'", "\"`", "'`", '"', "'", "`", "")}
+#: What a value of several lines starts with: three quotes, or the mark of a block at the end of its line.
+TRIPLE = re.compile(r"""[=:(]\s*[A-Za-z]{0,2}(\"\"\"|''')""")
+BLOCK = re.compile(r"""^([ \t]*)(?:- )?["']?([A-Za-z_$@][\w$.-]*)["']?[ \t]*:[ \t]*[|>][+-]?\d?[ \t]*$""")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 NAME = re.compile(r"[A-Za-z_$@-][\w$.-]*")
 
@@ -57,7 +63,7 @@ def name_weight(name: str) -> int:
 def shape_weight(literal: str) -> int:
     """0 to 4: length, mixed classes and entropy; negative for what can't be a secret."""
     bare = literal.strip()
-    if len(bare) < 6 or bare.lower().strip("<>{}$%_*.-") in PLACEHOLDERS or len(set(bare)) < 4 or re.search(r"\s.*\s", bare):
+    if len(bare) < 6 or PLACEHOLDERS.issuperset(bare.lower().strip("<>{}$%_*.-").split()) or len(set(bare)) < 4 or re.search(r"\s.*\s", bare):
         return -9
     counts = Counter(bare)
     entropy = -sum(c / len(bare) * math.log2(c / len(bare)) for c in counts.values())
@@ -67,15 +73,15 @@ def shape_weight(literal: str) -> int:
 
 SIGN = re.compile("[=:]")
 SETTER = re.compile(r"(?:set|with|use|add)_?([A-Za-z]\w*)")
-#: The parts of a literal, each start and end, and its text.
-Literal = tuple[list[tuple[int, int]], str]
+#: The parts of a literal: each one's start and end, and their texts.
+Literal = tuple[list[tuple[int, int]], list[str]]
 
 
 def lexed_pairs(text: str) -> tuple[dict[str, list[Literal]], dict[str, set[str]]]:
     """Name-literal pairs and name-name bindings of all lines that hold ``:`` or ``=``, or follow such a sign."""
     literals: dict[str, list[Literal]] = {}
     refs: dict[str, set[str]] = {}
-    at, open_name = 0, None
+    at, open_name, taken = 0, None, 0
     while True:
         if open_name is None:
             sign = SIGN.search(text, at)
@@ -88,15 +94,60 @@ def lexed_pairs(text: str) -> tuple[dict[str, list[Literal]], dict[str, set[str]
             if start >= len(text):
                 return literals, refs
         end = len(text) if end < 0 else end
+        if start >= taken:
+            taken, opened = _value_lines(text, start, end, literals, open_name)
+            if opened:  # what follows the quotes is lexed as a line of its own
+                _lex_line(text, start, opened - 3, literals, refs, open_name)
+                at, open_name = opened, None
+                continue
         open_name = _lex_line(text, start, end, literals, refs, open_name)
         at = end
 
 
+def _lines_of(text: str, start: int, end: int, name: str, literals: dict[str, list[Literal]]) -> None:
+    """Each line between ``start`` and ``end`` as a literal of ``name``, without the blanks around it."""
+    for m in re.compile(r"[^\s](?:[^\n]*[^\s])?").finditer(text, start, end):
+        literals.setdefault(name, []).append(([m.span()], [m.group()]))
+
+
+def _value_lines(text: str, start: int, end: int, literals: dict[str, list[Literal]], target: str | None) -> tuple[int, int]:
+    """Takes a value of several lines that starts on this line: where it ends, and where its quotes have opened.
+
+    Each line of it is a literal of its name: a text in three quotes, or the deeper lines under ``name: |``.
+    """
+    line = text[start:end]
+    if line.rstrip().endswith(("|", ">", "+", "-", *"123456789")) and (block := BLOCK.match(line)):
+        at = end
+        while at < len(text):
+            stop = text.find("\n", at + 1)
+            stop = len(text) if stop < 0 else stop
+            deeper = text[at + 1 : stop]
+            if deeper.strip() and len(deeper) - len(deeper.lstrip()) <= len(block[1]):
+                break
+            at = stop
+        _lines_of(text, end, at, block[2], literals)
+        return at, 0
+    if '"""' not in line and "'''" not in line or not (opened := TRIPLE.search(text, start, end)):
+        return start, 0
+    names = NAME.findall(text, start, opened.start())
+    close = text.find(opened[1], opened.end())
+    name = names[-1] if names else target
+    if close < 0 or name is None:  # it stays open, so it is no value
+        return start, 0
+    setter = SETTER.fullmatch(name.rpartition(".")[2]) if text[opened.start()] == "(" else None
+    _lines_of(text, opened.end(), close, setter[1] if setter else name, literals)
+    return close, opened.end()
+
+
 def _lex_line(text: str, start: int, end: int, literals: dict, refs: dict, target: str | None = None) -> str | None:
     """Lexes one line; ``target`` waits for a value. The name that waits for one at its end."""
     name, value_next, before, joining = None, target is not None, "", False
-    for m in TOKEN.finditer(text, start, end):
-        kind, word = m.lastgroup, m.group()
+    quotes, at = "\"'`", start
+    while m := TOKENS[quotes].search(text, at, end):
+        kind, word, at = m.lastgroup, m.group(), m.end()
+        if kind == "quote":
+            quotes = quotes.replace(word, "")
+            continue
         if kind == "sign":
             value_next, joining = False, False
             if word in (":", "=", ":=", "=>") and name and before in ("word", "string", "]"):
@@ -111,11 +162,11 @@ def _lex_line(text: str, start: int, end: int, literals: dict, refs: dict, targe
                     shift = 1 if kind == "string" else 0
                     span, found = (m.start() + shift, m.end() - shift), literals.setdefault(target, [])
                     if joining and kind == "string" and found:
-                        spans, so_far = found[-1]
+                        spans, parts = found[-1]
                         spans.append(span)
-                        found[-1] = (spans, so_far + inner)
+                        parts.append(inner)
                     else:
-                        found.append(([span], inner))
+                        found.append(([span], [inner]))
                 if kind == "word" and NAME.fullmatch(word):
                     refs.setdefault(target, set()).add(word.strip("$"))
                 value_next = kind == "word" and low in ("bearer", "basic", "new", "const", "str", "string", "final")
@@ -148,7 +199,7 @@ def literal_spans(text: str) -> list[tuple[int, int]]:
             if reach.get(source, 0) < reach[n] and (source in literals or source in refs):
                 reach[source] = reach[n]
                 todo.append(source)
-    return sorted({p for n, found in literals.items() for spans, s in found if n in reach and reach[n] + shape_weight(s) >= THRESHOLD for p in spans})
+    return sorted({p for n, found in literals.items() for spans, parts in found if n in reach and reach[n] + shape_weight("".join(parts)) >= THRESHOLD for p in spans})
 
 
 def scan(text: str | None) -> tuple[list[tuple[int, int, str]], int, int, int]:

@@ -53,6 +53,15 @@ CODE = {
     'mode = client.setPassword("hunter2-Zx81")': ["hunter2-Zx81"],
     'db_password =\n    "hunter2-Zx81"\ntitle = "Zk39fj2Lq0"': ["hunter2-Zx81"],
     "api_key:": [],
+    'db_password = """hunter2-Zx81"""': ["hunter2-Zx81"],
+    'a = 1; token = r\'\'\'\n  Zk39fj2Lq0\n  \'\'\'\ntitle = "Zk39fj2Lq0"': ["Zk39fj2Lq0"],
+    'mode = client.setPassword("""hunter2-Zx81""")': ["hunter2-Zx81"],
+    'k = "Zk39fj2Lq0"; x = """harmless text"""\napi_key = k': ["Zk39fj2Lq0"],
+    "private_key: |\n  aB3dE5fG7h+Q\n\n  9xY8zW7v/K\nname: aB3dE5fG7h+Q": ["aB3dE5fG7h+Q", "9xY8zW7v/K"],
+    "  - secret: >-\n      q9W8e7R6t5\n  - port: 1": ["q9W8e7R6t5"],
+    "script: |\n  export AUTH_TOKEN=tok_4fG7hJ9k\n": ["tok_4fG7hJ9k"],
+    "it's the password = 'hunter2-Zx81'": [],
+    'don\'t = 1; db_password = "hunter2-Zx81"': ["hunter2-Zx81"],
 }
 
 
@@ -73,6 +82,56 @@ def test_lexing_is_linear():
     assert took(160_000) < 40 * max(took(16_000), 0.02)
 
 
+HOSTILE = {
+    "escaped double quotes": lambda n: 'a="' + '\\"' * n,
+    "escaped single quotes": lambda n: "a='" + "\\'" * n,
+    "open backtick": lambda n: "a=`" + "b'c\"d" * n,
+    "three open quotes": lambda n: "a=`x\\\"y\\'" * n,
+    "joined strings": lambda n: 'secret = "aB3d"' + ' + "aB3d"' * n,
+    "open triple quotes": lambda n: 'a = """\n' + "b = \'\'\'x\'\'\'\n" * n,
+    "many triple quotes": lambda n: 'a = """ b' * n,
+    "deeper and deeper blocks": lambda n: "".join(" " * i + "a: |\n" for i in range(int((8 * n) ** 0.5))),
+    "names of names": lambda n: "".join(f"a{i} = a{i + 1}\n" for i in range(n)) + "password = a0\n",
+    "signs": lambda n: "=:" * n,
+    "blanks": lambda n: "password" + " " * n + "x=",
+}
+
+
+@pytest.mark.parametrize("shape", HOSTILE)
+def test_lexing_of_hostile_lines_is_linear(shape):
+    import time
+
+    def took(n):
+        text, best = HOSTILE[shape](n), 9e9
+        for _ in range(2):
+            began = time.process_time()
+            secrets.scan(text)
+            best = min(best, time.process_time() - began)
+        return best
+
+    assert took(40_000) < 25 * max(took(4_000), 0.01)
+
+
+def test_lexing_finds_what_patterns_miss():
+    """A labelled set: each line has a secret or none; base patterns alone, and with literals."""
+    rng = random.Random(11)
+    fresh = lambda n: "".join(rng.choices("abcdefghjkmnpqrstuvwxyzABCDEFGHJKMNPQRSTUVWXYZ23456789", k=n - 3)) + "aZ7"
+    with_one = ['{n}Credentials = "{v}"', "export {n}_PWD={v}", 'ok = set_{n}_passphrase("{v}")', 'cfg["{n}-signing-key"] = \'{v}\'', '"{n}AccessKey": "{v}",', "auth_{n}:\n    '{v}'", 'private_{n}_key = """\n{v}\n"""', "client_{n}_credential: |\n  {v}"]
+    without = ['{n}Title = "{v}"', "{n}: {w} {w} {w}", 'log("{n} token expired at {w}")', 'password_{n}_label = "your password"', "checksum_{n}={v}", "key_{n} = {w}", 'passwd = os.environ["{n}"]', "secret santa {n}: {w}"]
+    tp = fp = fn = base = 0
+    for k in range(800):
+        shape = (with_one if k % 2 else without)[k // 2 % 8]
+        value = fresh(rng.randrange(10, 30))
+        text = shape.format(n=rng.choice(["db", "mail", "blob", "app"]), v=value, w=rng.choice(["noon", "river", "green"]))
+        at = text.find(value)
+        found, *_ = secrets.scan(text)
+        hit = [x for x in found if at >= 0 and x[0] < at + len(value) and x[2] > at]
+        if k % 2:
+            tp, fn, base = tp + bool(hit), fn + (not hit), base + any(x[1] < 3 for x in hit)
+        fp += len([x for x in found if x[1] == 3 and (not k % 2 or x not in hit)])
+    assert tp / (tp + fn) > 0.9 and tp / (tp + fp) > 0.95 and base < tp / 2, (tp, fn, fp, base)
+
+
 # --- token counts
 
 def test_counts_equal_the_tokenizer(duck):
