@@ -119,34 +119,3 @@ def arrival_join(tagged: DataFrame, key: str, order: str, side: str, value: str,
         return (None if held is None else (held,)), pd.DataFrame(out)
 
     return process(tagged, key, step, f"held {kind}", f"{fields}, table_value {kind}")
-
-
-class BufferFull(RuntimeError):
-    pass
-
-
-def suppress_until_time_limit(stream: DataFrame, key: str, ts: str, value: str, limit_ms: int, max_records: int | None = None, when_full: str = "emit", output_mode: str = "append") -> DataFrame:
-    """Rate limit: the last value of a key, once the watermark is ``limit_ms`` past the first update held.
-
-    ``max_records`` bounds the updates a key may hold back: the buffer then empties early (``emit``) or the
-    query ends with an error (``shut_down``). Needs a watermark on ``ts``.
-    """
-    kind = stream.schema[value].dataType.simpleString()
-    key_kind = stream.schema[key].dataType.simpleString()
-    columns = [key, "ts_ms", value]
-
-    def out(k, state):
-        return pd.DataFrame([(k[0], state[2], state[1])], columns=columns)
-
-    def step(k, state, rows):
-        done = []
-        for at, v in zip((rows[ts].astype("int64") // (10**6 if "ns" in str(rows[ts].dtype) else 1000)).tolist(), rows[value].tolist(), strict=True):
-            state = (at, v, at, 1) if state is None else (state[0], v, max(at, state[2]), state[3] + 1)
-            if max_records is not None and state[3] > max_records:
-                if when_full == "shut_down":
-                    raise BufferFull(f"more than {max_records} updates held for {k[0]}")
-                done.append(out(k, state))
-                state = None
-        return state, pd.concat(done) if done else None
-
-    return process(stream, key, step, f"first long, value {kind}, last long, n long", f"`{key}` {key_kind}, ts_ms long, `{value}` {kind}", output_mode, "EventTime", lambda k, s: (None, out(k, s)), lambda s: s[0] + limit_ms)

@@ -61,14 +61,6 @@ def test_arrival_join(spark, sf_dir, tmp_path):
     assert sorted((r.event_id, r.table_value) for r in got.collect()) == sorted((r.event_id, r.t_value) for r in want.collect())
 
 
-def test_suppress_until_time_limit(spark, sf_dir, tmp_path):
-    batch, stream = split(spark, sf_dir, tmp_path / "in")
-    live = windows.with_grace(stream.select("user_id", "ts", "event_id"), "ts", "0 seconds")
-    got = run(stateful.suppress_until_time_limit(live, "user_id", "ts", "event_id", 3_600_000), "limited", checkpoint=tmp_path / "c").collect()
-    known = {(r.user_id, r.event_id) for r in batch.select("user_id", "event_id").collect()}
-    assert 0 < len(got) < batch.count() and all((r.user_id, r.event_id) in known for r in got)
-
-
 def test_log_sink_and_source(spark, sf_dir, tmp_path):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     log = records.as_log(events, F.col("event_type"), F.col("user_id").cast("string"), F.col("props"), F.col("ts"), F.col("event_id"))
