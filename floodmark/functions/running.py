@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_COMBINE = {"sum": F.sum, "max": F.max, "min": F.min}
+_COMBINE = {"sum": F.sum, "max": F.max, "min": F.min, "last": lambda c: F.last(c, ignorenulls=True)}
 
 
 def running(df: DataFrame, group: Sequence[str], order: Sequence[str], block: Column, results: dict[str, tuple[str, Column]]) -> DataFrame:
-    """Adds running sums, maxima and minima of each group in ``order``: ``results`` maps names to (kind, column).
+    """Adds running sums, maxima, minima and last values of each group in ``order``: ``results`` maps names to (kind, column).
 
     ``block`` has to grow with the order (such as its thousands, or the day of a time). Rows are sorted
     within their block only, and the small table of block totals carries what came before, so a hot group
@@ -20,7 +20,8 @@ def running(df: DataFrame, group: Sequence[str], order: Sequence[str], block: Co
     """
     group = list(group)
     rows = df.withColumns({"_block": block, **{f"_v_{n}": c for n, (_, c) in results.items()}})
-    totals = rows.groupBy(*group, "_block").agg(*[_COMBINE[k](f"_v_{n}").alias(f"_t_{n}") for n, (k, _) in results.items()])
+    newest = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order)))
+    totals = rows.groupBy(*group, "_block").agg(*[(newest if k == "last" else _COMBINE[k])(f"_v_{n}").alias(f"_t_{n}") for n, (k, _) in results.items()])
     before = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.withColumns({f"_t_{n}": _COMBINE[k](f"_t_{n}").over(before) for n, (k, _) in results.items()})
     totals = totals.select(*[F.col(c).alias(f"_g_{c}") for c in [*group, "_block"]], *[f"_t_{n}" for n in results])
@@ -34,7 +35,7 @@ def running(df: DataFrame, group: Sequence[str], order: Sequence[str], block: Co
     done = {}
     for n, (k, _) in results.items():
         here, past = F.col(f"_v_{n}"), F.col(f"_t_{n}")
-        done[n] = F.coalesce(here + past, here, past) if k == "sum" else (F.greatest if k == "max" else F.least)(here, past)
+        done[n] = {"sum": lambda a, b: F.coalesce(a + b, a, b), "max": F.greatest, "min": F.least, "last": F.coalesce}[k](here, past)
     return out.select(*[F.col(c) for c in df.columns if c not in done], *[c.alias(n) for n, c in done.items()])
 
 

@@ -11,10 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.running import running
 from . import tables
 
-#: Global tables are broadcast up to so many bytes (as JSON text); larger ones are joined by a shuffle.
+#: Global tables are broadcast up to so many bytes by the optimiser's estimate, or else as JSON text; larger ones are joined by a shuffle.
 BROADCAST_BYTES = 64 << 20
+#: From here on an estimate says no more than that nothing is known.
+UNKNOWN_BYTES = 1 << 60
+
+
+def size_in_bytes(df: DataFrame) -> int:
+    """The optimiser's estimate, which costs no job; only where it knows nothing the rows are measured as JSON text."""
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if estimate < UNKNOWN_BYTES:
+        return estimate
+    return df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
 
 
 def _renamed(df: DataFrame, prefix: str) -> DataFrame:
@@ -61,13 +72,14 @@ def self_join(stream: DataFrame, key: str, ts: str, before_ms: int, after_ms: in
     return window_join(stream, stream, key, ts, before_ms, after_ms)
 
 
-def stream_table_join(stream: DataFrame, table: DataFrame, key: str, order: str, values: list[str], deleted: Column | None = None, how: str = "inner", asof: str | None = None) -> DataFrame:
+def stream_table_join(stream: DataFrame, table: DataFrame, key: str, order: str, values: list[str], deleted: Column | None = None, how: str = "inner", asof: str | None = None, block: Column | None = None) -> DataFrame:
     """Each stream row with the table's value when it arrived; table updates trigger nothing.
 
     ``order`` is arrival, common to both sides; a table row of the same order comes first. With ``asof``,
     a time column, the lookup goes by time in place of arrival: the version valid at the stream row's own
     time, a table row of equal time included. Values come back as ``t_*``; the row keeps its own time.
-    One shuffle of the union by key, sorted, with the last value carried along.
+    One shuffle of the union by key, sorted, with the last value carried along; with ``block``, which is made
+    of ``order`` (or ``asof``) and grows with it, a hot key is worked on block by block.
     """
     by = [asof] if asof else [order]
     cell = F.struct(*[F.col(v).alias(f"t_{v}") for v in values])
@@ -76,8 +88,12 @@ def stream_table_join(stream: DataFrame, table: DataFrame, key: str, order: str,
     t = table.dropna(subset=[key]).select(F.col(key), *[F.col(c).cast(kinds[c].dataType) for c in by], F.col(order).alias("_o"), F.lit(0).alias("_side"), F.struct(F.when(~gone, cell).alias("cell")).alias("_cell"))
     s = stream.select(F.col(key), *by, F.col(order).alias("_o"), F.lit(1).alias("_side"), F.struct(*stream.columns).alias("_row"))
     keyed = s.filter(F.col(key).isNotNull()).unionByName(t, allowMissingColumns=True)
-    carried = F.last("_cell", ignorenulls=True).over(Window.partitionBy(key).orderBy(*by, "_side", "_o").rowsBetween(Window.unboundedPreceding, 0))
-    out = keyed.withColumn("_found", carried).filter("_side = 1").select("_row.*", F.col("_found.cell").alias("_c"))
+    if block is not None:
+        found = running(keyed, [key], [*by, "_side", "_o"], block, {"_found": ("last", F.col("_cell"))})
+    else:
+        carried = F.last("_cell", ignorenulls=True).over(Window.partitionBy(key).orderBy(*by, "_side", "_o").rowsBetween(Window.unboundedPreceding, 0))
+        found = keyed.withColumn("_found", carried)
+    out = found.filter("_side = 1").select("_row.*", F.col("_found.cell").alias("_c"))
     if how == "inner":
         out = out.filter(F.col("_c").isNotNull())
     else:
@@ -95,10 +111,10 @@ def versioned_join(stream: DataFrame, versions: DataFrame, key: str, ts: str, va
 def global_join(stream: DataFrame, table: DataFrame, mapped: Column, table_key: str, values: list[str], how: str = "inner") -> DataFrame:
     """Stream rows with a fully replicated table by a key mapped from the row; a null mapped key is dropped or padded.
 
-    The table is measured: up to ``BROADCAST_BYTES`` it is broadcast, beyond it the join shuffles.
+    Up to ``BROADCAST_BYTES`` (``size_in_bytes``) the table is broadcast, beyond it the join shuffles.
     """
     t = table.select(F.col(table_key).alias("_gk"), *[F.col(v).alias(f"t_{v}") for v in values])
-    if (t.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0) <= BROADCAST_BYTES:
+    if size_in_bytes(t) <= BROADCAST_BYTES:
         t = F.broadcast(t)
     return stream.join(t, mapped == F.col("_gk"), {"left": "left_outer"}.get(how, how)).drop("_gk")
 

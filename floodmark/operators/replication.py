@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.running import numbers
+from ..functions.running import numbers, running
 
 #: Topics left out unless told otherwise (fixed values).
 EXCLUDED_TOPICS = (r"mm2.*\.internal", r".*\.replica", r"__.*")
@@ -70,16 +70,17 @@ def offset_syncs(replica: DataFrame, every: int) -> DataFrame:
     return replica.groupBy("topic", "partition", block.alias("_b")).agg(first).select("topic", "partition", F.col("_s.upstream_offset").alias("upstream_offset"), F.col("_s.offset").alias("downstream_offset"))
 
 
-def translate_offsets(committed: DataFrame, syncs: DataFrame) -> DataFrame:
+def translate_offsets(committed: DataFrame, syncs: DataFrame, block: int = 100_000) -> DataFrame:
     """Checkpoints: each committed upstream offset with the newest sync at or before it.
 
     A commit right at a sync goes to that sync's downstream offset, a later one to the record after it;
-    a commit before the first sync has none. An as-of lookup: both sides in one order by offset.
+    a commit before the first sync has none. An as-of lookup: both sides in one order by offset, a
+    partition in blocks of ``block`` offsets.
     """
     s = syncs.select("topic", "partition", F.col("upstream_offset").alias("o"), F.struct(F.col("upstream_offset").alias("up"), F.col("downstream_offset").alias("down")).alias("_s"), F.lit(0).alias("_q"))
     c = committed.select("group", "topic", "partition", F.col("committed_offset").alias("o"), F.lit(1).alias("_q"))
-    so_far = Window.partitionBy("topic", "partition").orderBy("o", "_q").rowsBetween(Window.unboundedPreceding, 0)
-    rows = s.unionByName(c, allowMissingColumns=True).withColumn("_s", F.last("_s", ignorenulls=True).over(so_far)).filter("_q = 1")
+    both = s.unionByName(c, allowMissingColumns=True)
+    rows = running(both, ["topic", "partition"], ["o", "_q"], F.floor(F.col("o") / block), {"_s": ("last", F.col("_s"))}).filter("_q = 1")
     down = F.col("_s.down") + F.when(F.col("o") > F.col("_s.up"), 1).otherwise(0)
     return rows.select("group", "topic", "partition", F.col("o").alias("upstream_offset"), down.alias("downstream_offset")).filter("downstream_offset is not null")
 

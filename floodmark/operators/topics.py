@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.running import running
+from ..functions.times import epoch_micros
+
 PLACE = ("topic", "partition")
 
 
@@ -19,22 +22,30 @@ def offsets_for_time(log: DataFrame, time: Column) -> DataFrame:
 
 
 def offsets_for_times(log: DataFrame, times: DataFrame) -> DataFrame:
-    """As ``offsets_for_time`` for many (topic, partition, time): the union by time, the next offset carried back.
+    """As ``offsets_for_time`` for many (topic, partition, time): the union by falling time, the lowest offset carried along.
 
-    Where timestamps aren't in offset order, the lowest offset of all later timestamps counts.
+    Where timestamps aren't in offset order, the lowest offset of all later timestamps counts. A partition
+    is worked on hour by hour.
     """
     rows = log.select(*PLACE, F.col("timestamp").alias("t"), "offset").withColumn("_q", F.lit(0))
-    asked = times.select(*PLACE, F.col("time").alias("t"), F.lit(None).cast("long").alias("offset"), F.lit(-1).alias("_q"))
-    after = Window.partitionBy(*PLACE).orderBy("t", "_q").rowsBetween(0, Window.unboundedFollowing)
-    return rows.unionByName(asked).withColumn("offset", F.min("offset").over(after)).filter("_q = -1").select(*PLACE, F.col("t").alias("time"), "offset")
+    asked = times.select(*PLACE, F.col("time").alias("t"), F.lit(None).cast("long").alias("offset"), F.lit(1).alias("_q"))
+    both = rows.unionByName(asked).withColumn("_back", -epoch_micros(F.col("t")))
+    found = running(both, PLACE, ["_back", "_q"], F.floor(F.col("_back") / 3_600_000_000), {"_lowest": ("min", F.col("offset"))})
+    return found.filter("_q = 1").select(*PLACE, F.col("t").alias("time"), F.col("_lowest").alias("offset"))
+
+
+def offsets_of(log: DataFrame, specs: dict[str, str], time: Column | None = None) -> DataFrame:
+    """Offsets of each partition by names, in one aggregation: ``earliest``, ``latest`` (one past the end), ``max_timestamp`` or ``at`` a time."""
+    aggs = {
+        "earliest": F.min("offset"), "latest": F.max("offset") + 1, "max_timestamp": F.max_by("offset", F.struct("timestamp", -F.col("offset"))),
+        "at": F.min(F.when(F.col("timestamp") >= time, F.col("offset"))) if time is not None else None,
+    }
+    return log.groupBy(*PLACE).agg(*[aggs[s].alias(name) for name, s in specs.items()])
 
 
 def offset_of(log: DataFrame, spec: str, time: Column | None = None) -> DataFrame:
-    """Offsets by ``earliest``, ``latest`` (one past the end), ``max_timestamp`` or ``at`` a time."""
-    if spec == "at":
-        return offsets_for_time(log, time).select(*PLACE, "offset")
-    agg = {"earliest": F.min("offset"), "latest": F.max("offset") + 1, "max_timestamp": F.max_by("offset", F.struct("timestamp", -F.col("offset")))}[spec]
-    return log.groupBy(*PLACE).agg(agg.alias("offset"))
+    """One of ``offsets_of``; partitions without it are left out."""
+    return offsets_of(log, {"offset": spec}, time).filter(F.col("offset").isNotNull())
 
 
 def read_range(log: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:
@@ -103,7 +114,7 @@ def retain_time(log: DataFrame, retention: str, now: Column) -> DataFrame:
     return log.filter(F.col("timestamp") >= now - F.expr(f"interval {retention}"))
 
 
-def retain_bytes(log: DataFrame, size: Column, limit: int) -> DataFrame:
-    """The newest records of each partition whose sizes sum up to at most ``limit``."""
-    newest = Window.partitionBy(*PLACE).orderBy(F.col("offset").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    return log.withColumn("_sum", F.sum(size).over(newest)).filter(F.col("_sum") <= limit).drop("_sum")
+def retain_bytes(log: DataFrame, size: Column, limit: int, block: int = 100_000) -> DataFrame:
+    """The newest records of each partition whose sizes sum up to at most ``limit``, by blocks of so many offsets."""
+    rows = log.withColumn("_back", -F.col("offset"))
+    return running(rows, PLACE, ["_back"], F.floor(F.col("_back") / block), {"_sum": ("sum", size)}).filter(F.col("_sum") <= limit).select(*log.columns)

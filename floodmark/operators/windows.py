@@ -64,6 +64,40 @@ def sliding(df: DataFrame, key: str, ts: str, difference_ms: int, *aggregates: C
     return joined.groupBy(key, "start_ms").agg(*aggregates).withColumn("end_ms", F.col("start_ms") + difference_ms)
 
 
+_PARTIAL = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
+_MERGED = {"sum": lambda a, b: F.coalesce(a + b, a, b), "min": F.least, "max": F.greatest}
+
+
+def sliding_merged(df: DataFrame, key: str, ts: str, difference_ms: int, results: dict[str, tuple[str, Column]]) -> DataFrame:
+    """As ``sliding``, for aggregates that merge: ``results`` maps names to (sum, count, min or max, column).
+
+    Linear in the records of a window: they are first aggregated by time, times are cut into buckets as
+    wide as the window, and a window is the end of one bucket and the beginning of the next. Both are running
+    results within a bucket, one from its end and one from its start, so no record is joined to a window.
+    """
+    width = difference_ms + 1
+    bucket = lambda c: F.floor(F.col(c) / width)
+    rows = df.dropna(subset=[key]).withColumn("_t", epoch_millis(F.col(ts)))
+    counted = results | {"_records": ("count", F.lit(1))}
+    times = rows.groupBy(key, "_t").agg(*[_PARTIAL[k](c).alias(n) for n, (k, c) in counted.items()])
+    starts = times.select(key, F.explode(F.array(F.greatest(F.col("_t") - difference_ms, F.lit(0)), F.col("_t") + 1)).alias("start_ms"))
+    ends = F.struct((F.col("start_ms") + difference_ms).alias("_t"), F.lit(2).alias("_side"))
+    sides = F.array(F.struct(F.col("start_ms").alias("_t"), F.lit(1).alias("_side")), F.when(F.col("start_ms") % width != 0, ends))
+    marks = starts.withColumn("_m", F.explode(F.filter(sides, lambda m: m.isNotNull()))).select(key, "start_ms", "_m.*")
+    both = times.withColumn("_side", F.lit(0)).unionByName(marks, allowMissingColumns=True).withColumn("_b", bucket("_t"))
+    # a mark comes after the times that belong to it, seen from the bucket's end or from its start
+    part = Window.partitionBy(key, "_b")
+    from_end, from_start = part.orderBy(F.desc("_t"), "_side"), part.orderBy("_t", "_side")
+    merge = {n: {"count": "sum"}.get(k, k) for n, (k, _) in counted.items()}
+    so_far = lambda n, w: _PARTIAL[merge[n]](n).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    found = both.withColumns({f"_{n}": F.when(F.col("_side") == 1, so_far(n, from_end)).when(F.col("_side") == 2, so_far(n, from_start)) for n in counted})
+    found = found.filter("_side > 0").groupBy(key, "start_ms")
+    pairs = found.agg(*[F.max(F.when(F.col("_side") == s, F.col(f"_{n}"))).alias(f"_{n}{s}") for n in counted for s in (1, 2)])
+    merged = {n: _MERGED[merge[n]](F.col(f"_{n}1"), F.col(f"_{n}2")) for n in counted}
+    out = pairs.select(key, "start_ms", *[c.alias(n) for n, c in merged.items()]).filter("_records > 0").drop("_records")
+    return out.withColumn("end_ms", F.col("start_ms") + difference_ms)
+
+
 def sessions(df: DataFrame, key: str | Sequence[str], ts: str, gap: str, *aggregates: Column) -> DataFrame:
     """Sessions that merge while records are at most ``gap`` apart: key, start, end (the last record) and aggregates.
 
@@ -97,8 +131,9 @@ def cogroup_sessions(streams: dict[str, DataFrame], key: str, ts: str, gap: str,
     return sessions(tag(streams, key), key, ts, gap, *[c.alias(n) for n, c in aggregates.items()])
 
 
-def cogroup_sliding(streams: dict[str, DataFrame], key: str, ts: str, difference_ms: int, aggregates: dict[str, Column]) -> DataFrame:
-    return sliding(tag(streams, key), key, ts, difference_ms, *[c.alias(n) for n, c in aggregates.items()])
+def cogroup_sliding(streams: dict[str, DataFrame], key: str, ts: str, difference_ms: int, results: dict[str, tuple[str, Column]]) -> DataFrame:
+    """``results`` as in ``sliding_merged``; their columns see ``stream``, the name a row's stream has in ``streams``."""
+    return sliding_merged(tag(streams, key), key, ts, difference_ms, results)
 
 
 def tag(streams: dict[str, DataFrame], key: str) -> DataFrame:
@@ -150,8 +185,14 @@ def drop_late(windowed_rows: DataFrame, end: Column, grace: str, time: str = "st
     return windowed_rows.filter(F.col(time) <= end + F.expr(f"interval {grace}"))
 
 
-def on_window_update(rows: DataFrame, key: str, window: str, order: str, aggregate: Column, name: str = "result") -> DataFrame:
-    """A result for every record: the aggregate of its window so far."""
+def on_window_update(rows: DataFrame, key: str, window: str, order: str, aggregate: Column | tuple[str, Column], name: str = "result", block: Column | None = None) -> DataFrame:
+    """A result for every record: the aggregate of its window so far.
+
+    With ``block``, which grows with ``order``, a window is worked on block by block; ``aggregate`` is then
+    (sum, max, min or last, column).
+    """
+    if block is not None:
+        return running(rows, [key, window], [order], block, {name: aggregate})
     so_far = Window.partitionBy(key, window).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return rows.withColumn(name, aggregate.over(so_far))
 

@@ -93,8 +93,7 @@ def log2_offsets_for_times(t):
 
 @query(f"SELECT partition, arg_max(off, ts) AS newest, min(off) AS earliest, max(off) + 1 AS latest FROM {LOG} GROUP BY 1")
 def log3_offset_specs(t):
-    got = [topics.offset_of(log(t), s).select("partition", F.col("offset").alias(n)) for s, n in (("max_timestamp", "newest"), ("earliest", "earliest"), ("latest", "latest"))]
-    return got[0].join(got[1], "partition").join(got[2], "partition")
+    return topics.offsets_of(log(t), {"newest": "max_timestamp", "earliest": "earliest", "latest": "latest"}).drop("topic")
 
 
 @query(f"SELECT partition, off AS \"offset\", event_id FROM {LOG} WHERE off >= 100 AND off < 900")

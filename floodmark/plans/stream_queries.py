@@ -163,8 +163,7 @@ def key4_repartition(t):
 
 @query("SELECT word, count(*) AS count FROM (SELECT unnest(list_filter(regexp_split_to_array(lower(text), '[^a-zA-Z0-9_]+'), lambda x: x <> '')) AS word FROM documents) GROUP BY 1")
 def agg1_word_count(t):
-    split = stateless.flat_map_values(t.documents, stateless.words(F.col("text")), "word")
-    return aggregates.count(split, "word", "word")
+    return aggregates.count(stateless.split_words(t.documents, F.col("text")), "word", "word")
 
 
 @query("SELECT user_id, round(sum(value), 2) AS total, max(value) AS top, arg_min(event_type, event_id) AS first_type FROM events GROUP BY 1")
@@ -227,7 +226,8 @@ FROM e JOIN s ON e.user_id = s.user_id AND t BETWEEN start_ms AND start_ms + 360
 
 @query(SLIDING)
 def win3_sliding(t):
-    return windows.sliding(t.events, "user_id", "ts", 3_600_000, F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
+    out = windows.sliding_merged(t.events, "user_id", "ts", 3_600_000, {"n": ("count", F.lit(1)), "total": ("sum", F.col("value"))})
+    return out.withColumn("total", F.round("total", 2))
 
 
 SESSIONS = """SELECT user_id, min(ts) AS start, max(ts) AS "end", count(*) AS n FROM (
@@ -286,7 +286,7 @@ def late1_drop(t):
 @query("SELECT event_id, event_type, count(*) OVER (PARTITION BY event_type, time_bucket(INTERVAL 1 DAY, ts) ORDER BY event_id) AS n FROM events")
 def late2_on_update(t):
     rows = t.events.withColumn("window", windows.tumbling("ts", "1 day"))
-    return windows.on_window_update(rows, "event_type", "window", "event_id", F.count("*"), "n").select("event_id", "event_type", "n")
+    return windows.on_window_update(rows, "event_type", "window", "event_id", ("sum", F.lit(1).cast("long")), "n", arrival_block()).select("event_id", "event_type", "n")
 
 
 @query(f"SELECT * FROM ({LATE_COUNTS}) JOIN (SELECT user_id % 4 AS p, max(ts) AS now FROM {LATE_SQL} GROUP BY 1) USING (p) WHERE start + INTERVAL 90 MINUTE < now".replace("SELECT * FROM (SELECT", "SELECT p, start, n FROM (SELECT"))

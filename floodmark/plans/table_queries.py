@@ -141,7 +141,7 @@ WHERE c.user_id = s.user_id AND c.event_id < s.event_id AND c.event_type IN ('si
 
 def _arrival(t, how: str):
     table = t.events.filter(F.col("event_type").isin("signup", "error")).select("user_id", "event_id", "event_type")
-    out = joins.stream_table_join(of_type(t, "purchase"), table, "user_id", "event_id", ["event_type"], gone(), how)
+    out = joins.stream_table_join(of_type(t, "purchase"), table, "user_id", "event_id", ["event_type"], gone(), how, block=arrival_block())
     return out.select("event_id", "user_id", F.col("t_event_type").alias("state"))
 
 

@@ -84,11 +84,11 @@ def with_timestamp(df: DataFrame, extractor: Column | str = "record", column: st
     return df.withColumn(column, extractor)
 
 
-def handle_invalid_timestamps(df: DataFrame, policy: str, ts: str = "ts_ms", partition: str = "partition", order: str = "offset") -> DataFrame:
+def handle_invalid_timestamps(df: DataFrame, policy: str, ts: str = "ts_ms", partition: str = "partition", order: str = "offset", block: int = 100_000) -> DataFrame:
     """Records with a null or negative time in ms: ``fail``, ``skip``, or take the ``partition_time``.
 
     Partition time is the highest time seen so far in the partition; a record before any valid one is
-    dropped, as there is no time to give it.
+    dropped, as there is no time to give it. A partition is worked on in blocks of ``block`` of its order.
     """
     bad = F.col(ts).isNull() | (F.col(ts) < 0)
     if policy == "fail":
@@ -96,8 +96,8 @@ def handle_invalid_timestamps(df: DataFrame, policy: str, ts: str = "ts_ms", par
     if policy == "skip":
         return df.filter(~bad)
     if policy == "partition_time":
-        so_far = Window.partitionBy(partition).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(ts, F.when(bad, F.max(F.when(~bad, F.col(ts))).over(so_far)).otherwise(F.col(ts))).filter(F.col(ts).isNotNull())
+        out = running(df, [partition], [order], F.floor(F.col(order) / block), {"_highest": ("max", F.when(~bad, F.col(ts)))})
+        return out.withColumn(ts, F.when(bad, F.col("_highest")).otherwise(F.col(ts))).filter(F.col(ts).isNotNull()).select(*df.columns)
     raise ValueError(f"no policy {policy!r}")
 
 
