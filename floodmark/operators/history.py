@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources import convert
+
 
 def versions(changelog: DataFrame, key: str, ts: str, order: str, deleted: Column, retention: str | None = None) -> DataFrame:
     """Rows with ``valid_from`` and ``valid_to`` (null: still valid); a delete ends the version before it.
@@ -49,6 +51,23 @@ def key_range(table: DataFrame, key: str, low=None, high=None, ascending: bool =
     return table.orderBy(F.col(key).asc() if ascending else F.col(key).desc())
 
 
+def key_range_by_bytes(table: DataFrame, key: str, low=None, high=None, ascending: bool = True) -> DataFrame:
+    """``key_range`` in the order of serialised keys: of whole numbers the negative ones come after all others.
+
+    Bounds are compared as numbers on each side of that break, so they still reach the files.
+    """
+    kind = {"bigint": "long", "int": "int", "string": "string"}[table.schema[key].dataType.simpleString()]
+    k = F.col(key)
+    if kind == "string":
+        return key_range(table, key, low, high, ascending)
+    if low is not None:
+        table = table.filter((k >= low) | (k < 0) if low >= 0 else (k < 0) & (k >= low))
+    if high is not None:
+        table = table.filter((k >= 0) & (k <= high) if high >= 0 else (k >= 0) | (k <= high))
+    by = convert.key_bytes(k, kind)
+    return table.orderBy(by.asc() if ascending else by.desc())
+
+
 def prefix_scan(table: DataFrame, key: str, prefix: str) -> DataFrame:
     return table.filter(F.col(key).startswith(prefix)).orderBy(key)
 

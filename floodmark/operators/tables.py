@@ -99,18 +99,3 @@ def running_count(signed: DataFrame, order: str, block: Column | None = None) ->
         return running(signed, ["group"], [order, "sign"], block, {"count": ("sum", F.col("sign"))})
     so_far = Window.partitionBy("group").orderBy(order, "sign").rowsBetween(Window.unboundedPreceding, 0)
     return signed.withColumn("count", F.sum("sign").over(so_far))
-
-
-def upsert(batch: DataFrame, target: str, key: str, order: str, value: str) -> None:
-    """Fold a micro-batch of a changelog into the table in files at ``target``, for ``foreachBatch``.
-
-    Versions lie side by side in ``target/v=N``; the newest whole one is the table, so a run that ends
-    midway leaves the one before. Reading keeps the latest row of a key.
-    """
-    spark = batch.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(target)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    versions = [int(s.getPath().getName()[2:]) for s in fs.listStatus(path)] if fs.exists(path) else []
-    whole = [v for v in versions if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{target}/v={v}/_SUCCESS"))]
-    rows = batch if not whole else spark.read.parquet(f"{target}/v={max(whole)}").unionByName(batch)
-    latest(rows, key, order).write.mode("overwrite").parquet(f"{target}/v={max(whole, default=-1) + 1}")

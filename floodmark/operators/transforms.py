@@ -43,14 +43,22 @@ def _set(df: DataFrame, on: str, path: str, value: Column, nested: bool = True)
     return df.withColumn(on, F.when(F.col(on).isNotNull(), F.col(on).withField(quoted(path, nested), value)))
 
 
-def cast(spec: dict[str, str] | str, on: str = "value") -> Transform:
-    """Fields to types, or the whole value to one type. Text that is no number becomes null."""
+def cast(spec: dict[str, str] | str, on: str = "value", bad: str = "fail") -> Transform:
+    """Fields to types, or the whole value to one type. What can't be cast fails its record, which ``errors`` can route, or becomes ``null``."""
+    if bad not in ("fail", "null"):
+        raise ValueError(f"no such way with bad values: {bad}")
+
+    def to(value: Column, kind: str) -> Column:
+        done = value.try_cast(kind)
+        if bad == "null":
+            return done
+        return F.when(value.isNotNull() & done.isNull(), F.raise_error(F.concat(F.lit("can't cast to " + kind + ": "), value.cast("string"))).cast(kind)).otherwise(done)
 
     def run(df: DataFrame) -> DataFrame:
         if isinstance(spec, str):
-            return df.withColumn(on, F.col(on).try_cast(spec))
+            return df.withColumn(on, to(F.col(on), spec))
         for path, kind in spec.items():
-            df = _set(df, on, path, get(on, path).try_cast(kind))
+            df = _set(df, on, path, to(get(on, path), kind))
         return df
 
     return run

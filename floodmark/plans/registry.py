@@ -39,7 +39,7 @@ class Tables:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import log_queries, more_queries, record_queries, stream_queries, table_queries  # noqa: F401
+    from . import log_queries, more_queries, record_queries, state_queries, stream_queries, table_queries  # noqa: F401
 
     return _QUERIES
 

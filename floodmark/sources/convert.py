@@ -58,6 +58,11 @@ def _padded_hex(data: Column, digits: int) -> tuple[Column, Column]:
 CONSTANT_SIZE, VARIABLE_SIZE, NULL_ENTRY = "00", "01", "FFFFFFFF"
 
 
+def _flagged(h: Column, flag: str, of: str) -> Column:
+    """The hex digits of a list, whose first byte has to say that it is one ``of`` this kind."""
+    return F.when(F.substring(h, 1, 2) == flag, h).when(h.isNotNull(), F.raise_error(F.concat(F.lit(f"no list of {of}: it starts with "), F.substring(h, 1, 2))).cast("string"))
+
+
 def _int_hex(value: Column) -> Column:
     return F.lpad(F.hex(value.cast("long")), 8, "0")
 
@@ -70,8 +75,8 @@ def longs_to_bytes(values: Column) -> Column:
 
 
 def longs_from_bytes(data: Column) -> Column:
-    """What ``longs_to_bytes`` wrote, nulls in their places."""
-    h = F.hex(data)
+    """What ``longs_to_bytes`` wrote, nulls in their places; other bytes are an error."""
+    h = _flagged(F.hex(data), CONSTANT_SIZE, "longs")
     number = lambda at, n: F.conv(F.substring(h, at, F.lit(n)), 16, 10).cast("long").cast("int")
     upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
     nulls = number(F.lit(3), 8)
@@ -90,8 +95,8 @@ def texts_to_bytes(values: Column) -> Column:
 
 
 def texts_from_bytes(data: Column) -> Column:
-    """What ``texts_to_bytes`` wrote."""
-    h = F.hex(data)
+    """What ``texts_to_bytes`` wrote; other bytes are an error."""
+    h = _flagged(F.hex(data), VARIABLE_SIZE, "texts")
     size = F.conv(F.substring(h, 3, 8), 16, 10).cast("int")
     none = F.array().cast("array<string>")
 
@@ -141,6 +146,31 @@ def header_type(text: Column) -> Column:
     )
 
 
+def header_value(text: Column) -> Column:
+    """A header's text as a value of the type it stands for: a struct of ``type`` and one field for each type, of which one is set.
+
+    A json text is kept as text that is known to be json; what doesn't fit its type after all is a string.
+    """
+    kind, low = header_type(text), F.lower(text)
+    fields = {
+        "boolean": F.when(kind == "boolean", low == "true"),
+        "integer": F.when(kind == "integer", text.try_cast("long")),
+        "decimal": F.when(kind == "decimal", text.try_cast("double")),
+        "date": F.when(kind == "date", text.try_cast("date")),
+        "timestamp": F.when(kind == "timestamp", text.try_cast("timestamp")),
+        "json": F.when((kind == "json") & F.try_parse_json(text).isNotNull(), text),
+    }
+    known = F.coalesce(*[F.when(c.isNotNull(), F.lit(n)) for n, c in fields.items()], F.when(text.isNotNull(), "string"), F.lit("null"))
+    return F.struct(known.alias("type"), *[c.alias(n) for n, c in fields.items()], F.when(known == "string", text).alias("string"))
+
+
+def key_bytes(key: Column, kind: str) -> Column:
+    """A key as the bytes that a store orders it by: ``string`` in UTF-8, ``int`` and ``long`` big-endian, so negative ones come last."""
+    if kind == "string":
+        return key.cast("binary")
+    return long_to_bytes(key, {"int": 4, "long": 8}[kind])
+
+
 def windowed_key(key: Column, window: Column) -> Column:
     """Key and window start in ms as JSON text, for sinks."""
     ms = lambda c: F.unix_millis(c.cast("timestamp"))

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
+from ..functions import files
+from ..sources.keyed_tables import KeyedTable
+
 
 class FunctionProcessor(StatefulProcessor):
     """State of one row and a function: ``step(key, state or None, rows) -> (state or None, output rows)``.
@@ -81,13 +84,19 @@ def process_values(stream: DataFrame, key: str, step: Callable, state_schema: st
     return process(stream, key, keyed, state_schema, f"`{key}` {kind}, {output}", output_mode, **timers)
 
 
-def with_global_state(stream: DataFrame, read: Callable[[], DataFrame], put: Callable[[DataFrame, DataFrame, int], None], checkpoint: str):
-    """Micro-batches with a table that all tasks share: ``put(batch, table, batch_id)`` gets it as it is at that batch.
+def with_global_state(stream: DataFrame, table: KeyedTable, put: Callable[[DataFrame, DataFrame, int], None], checkpoint: str, **options):
+    """Micro-batches with a table that all tasks share: ``put(batch, table, batch_id)`` gets one version of it.
 
-    ``read`` names the table (files that another query writes); it is only read here, so batches stay repeatable
-    as long as the table is versioned or grows.
+    The version that a batch sees first is written down under its id beside the checkpoint, so a batch that
+    is run again after a failure sees the same rows, whatever other queries have written to the table since.
     """
-    return stream.writeStream.foreachBatch(lambda batch, n: put(batch, read(), n)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        pin, spark = f"{checkpoint.rstrip('/')}/pinned/{batch_id}", batch.sparkSession
+        files.write_new(spark, pin, str(table.version()))  # the first try decides
+        put(batch, table.read(int(files.read_text(spark, pin))), batch_id)
+
+    return stream.writeStream.foreachBatch(each).options(**options).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def first_by_key(stream: DataFrame, key: str, order: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from floodmark.functions import reducers
 from floodmark.operators import aggregates, errors, history, joins, replication, stateless, tables, topics, transforms, windows
 from floodmark.sources import convert, records
+from floodmark.sources.keyed_tables import KeyedTable
 
 START = datetime(1970, 1, 1)
 
@@ -217,9 +218,10 @@ def test_remote_names(spark):
 
 def test_upsert_survives_and_keeps_latest(spark, tmp_path):
     path = str(tmp_path / "table")
-    tables.upsert(frame(spark, [("a", 0, "x"), ("b", 1, "y")], "k string, o int, v string"), path, "k", "o", "v")
-    tables.upsert(frame(spark, [("a", 2, "z")], "k string, o int, v string"), path, "k", "o", "v")
-    assert sorted((r.k, r.v) for r in spark.read.parquet(path + "/v=1").collect()) == [("a", "z"), ("b", "y")]
+    table = KeyedTable(spark, path, "k", "o", 4)
+    table.upsert(frame(spark, [("a", 0, "x"), ("b", 1, "y")], "k string, o int, v string"))
+    table.upsert(frame(spark, [("a", 2, "z")], "k string, o int, v string"))
+    assert sorted((r.k, r.v) for r in table.read().collect()) == [("a", "z"), ("b", "y")]
 
 
 def test_joiner_shows_missing_values(spark):
