@@ -14,13 +14,14 @@ holds two texts at a time. The texts cross the network once.
 from __future__ import annotations
 
 import hashlib
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MIN, NORMAL, MAX = 16, 64, 256
@@ -124,6 +125,16 @@ def _stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield frame
 
 
+def _place(rank: Column, bounds: list[int]) -> Column:
+    """How many of the ascending ``bounds`` are at most ``rank``, by every so many of them first and then those in between."""
+    every = max(1, math.isqrt(len(bounds)))
+    upto = lambda some: F.size(F.filter(some, lambda b: b <= rank))
+    listed = lambda some: F.lit(np.array(some, np.int64))
+    passed = upto(listed(bounds[::every]))
+    before = (passed - 1) * every
+    return F.when(passed > 0, before + upto(F.slice(listed(bounds), before + 1, F.lit(every)))).otherwise(0)
+
+
 def fingerprint_documents(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for each row of ``docs`` (doc_id, text).
 
@@ -135,7 +146,7 @@ def fingerprint_documents(docs: DataFrame, ranges: int | None = None) -> DataFra
     rank = F.coalesce("doc_id", F.lit(-(2**63)).cast("long"))
     shares = [i / ranges for i in range(1, ranges)] or [0.5]
     bounds = docs.agg(F.percentile_approx(rank, shares, 100 * ranges)).first()[0] or []  # as many as there are ranges
-    place = F.size(F.filter(F.lit(np.array(bounds, np.int64)), lambda b: b <= F.col("rank")))
+    place = _place(F.col("rank"), sorted(bounds))
     ids = docs.select(rank.alias("rank")).withColumn("place", place)
     heads = ids.groupBy("place").agg(F.min("rank").alias("rank"))
     before = F.coalesce(F.lag("place").over(Window.orderBy("place")), F.max("place").over(Window.partitionBy()))

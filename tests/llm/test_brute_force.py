@@ -555,6 +555,13 @@ def test_fingerprints(spark, sf_dir, duck):
             assert r.near_edited == fingerprints.likeness(a, b) and r.near_next == fingerprints.likeness(a, chunks(following.encode()))
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 99])
+def test_places_among_bounds(spark, n):
+    bounds = sorted(random.Random(n).randrange(-50, 50) for _ in range(n))
+    rows = spark.range(-60, 60).selectExpr("id AS r").withColumn("p", fingerprints._place(fingerprints.F.col("r"), bounds)).collect()
+    assert all(x.p == sum(b <= x.r for b in bounds) for x in rows)
+
+
 def test_chunks_survive_shifts():
     rng = np.random.default_rng(3)
     data = rng.integers(97, 123, 20_000).astype(np.uint8).tobytes()
