@@ -64,7 +64,8 @@ def token_weight(column: str = "text") -> Column:
 def _celled(docs: DataFrame, *keep: str) -> DataFrame:
     named = lambda c: F.coalesce(F.col(c), F.lit(UNKNOWN)).alias(c)
     topic = F.coalesce(F.col("topic"), F.lit(UNKNOWN)) if "topic" in docs.columns else form_topic()
-    return docs.select(*keep, named("source"), named("lang"), topic.alias("topic"), token_weight().alias("tokens"))
+    tokens = F.coalesce(F.col("n_tokens").cast("long"), F.lit(0)) if "n_tokens" in docs.columns else token_weight()
+    return docs.select(*keep, named("source"), named("lang"), topic.alias("topic"), tokens.alias("tokens"))
 
 
 def tempered_targets(cells: DataFrame, dimension: str, alpha: float = ALPHA) -> DataFrame:
