@@ -57,9 +57,13 @@ def map_table(change_rows: DataFrame, mapper) -> DataFrame:
     return change_rows.withColumns({"new": on("new"), "old": on("old")})
 
 
-def to_stream(change_rows: DataFrame) -> DataFrame:
-    """The new side of each change; a delete is a row with a null value."""
-    return change_rows.withColumnRenamed("new", "value").drop("old", "is_latest")
+def to_stream(change_rows: DataFrame, key: Column | None = None, name: str = "key") -> DataFrame:
+    """The new side of each change as ``value``; a delete is a row with a null value.
+
+    ``key`` makes a new key ``name`` of each row, from its old key and ``value``.
+    """
+    rows = change_rows.withColumnRenamed("new", "value").drop("old", "is_latest")
+    return rows if key is None else rows.withColumn(name, key)
 
 
 def regroup(change_rows: DataFrame, group) -> DataFrame:
@@ -93,6 +97,12 @@ def aggregate_table(signed: DataFrame, order: str, initial: Column, adder, subtr
     return aggregate(rows, "group", "_change", initial, step, "_at", merger)
 
 
+def running_sum(signed: DataFrame, field: str, order: str, block: Column) -> DataFrame:
+    """``count`` and ``sum`` of a field of the group after each change, block by block."""
+    value = F.col("sign") * F.col(f"cell.{field}")
+    return running(signed, ["group"], [order, "sign"], block, {"count": ("sum", F.col("sign")), "sum": ("sum", value)})
+
+
 def running_count(signed: DataFrame, order: str, block: Column | None = None) -> DataFrame:
     """The count of the group after each change, subtractions before additions; block by block if ``block`` is given."""
     if block is not None:

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from ..functions.places import shared_folder
 from ..functions.times import epoch_millis
-from ..operators import history, samples, transactions, windows
+from ..operators import history, replication, samples, stateless, tables, transactions, transforms, windows
 from ..sources import connectors, convert, envelopes
 from ..sources.keyed_tables import KeyedTable
 from .log_queries import LOG, log, measured
-from .registry import query
+from .record_queries import order_records
+from .registry import arrival_block, query
+from .table_queries import CHANGES, LATEST, SIGNED, signed, user_changes, users
 
 
 @query("SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id FROM events GROUP BY 1 HAVING arg_max(event_type, event_id) <> 'error'")
@@ -125,3 +127,88 @@ def win8_cogroup_sliding(t):
     of = lambda kind: t.events.filter(F.col("event_type") == kind).select("user_id", "ts", "value")
     results = {"views": ("count", F.when(F.col("stream") == "views", 1)), "top": ("max", F.when(F.col("stream") == "clicks", F.col("value")))}
     return windows.cogroup_sliding({"views": of("view"), "clicks": of("click")}, "user_id", "ts", 1_800_000, results)
+
+
+# --- transforms whose results differ from row to row
+
+@query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 2 = 1 THEN 'lane' ELSE '' END AS left_over FROM orders")
+def smt2_headers_by_row(t):
+    lane = F.array(F.struct(F.lit("lane").alias("key"), F.lit("7").cast("binary").alias("value")))
+    rows = order_records(t).withColumn("headers", F.when(F.col("offset") % 2 == 1, F.concat("headers", lane, "headers")).otherwise(F.col("headers")))
+    out = rows.transform(transforms.drop_headers(["origin"]))
+    return out.select(F.col("offset").alias("id"), F.array_join(F.transform("headers", lambda h: h["key"]), ",").alias("left_over"))
+
+
+@query("SELECT o_orderkey AS id, o_orderstatus || CASE WHEN o_orderstatus = 'O' THEN ',v1' ELSE '' END AS headers FROM orders")
+def smt9_headers_where(t):
+    out = order_records(t).transform(transforms.only_where(F.col("value.status") == "O", transforms.insert_header("version", "v1")))
+    return out.select(F.col("offset").alias("id"), F.array_join(F.transform("headers", lambda h: h["value"].cast("string")), ",").alias("headers"))
+
+
+@query("SELECT o_orderkey AS id, CASE WHEN o_totalprice > 100000 THEN '' ELSE o_orderstatus END AS status, CASE WHEN o_totalprice > 100000 THEN 0 ELSE o_totalprice END AS price, CASE WHEN o_orderstatus = 'F' THEN '***' ELSE o_orderpriority END AS priority FROM orders")
+def smt10_mask_where(t):
+    large = transforms.only_where(F.col("value.price") > 100000, transforms.mask_field(["status", "price"]))
+    # the status is looked at before it is masked
+    done = order_records(t).transform(transforms.only_where(F.col("value.status") == "F", transforms.mask_field(["info.priority"], "***"))).transform(large)
+    return done.select("value.id", "value.status", "value.price", "value.info.priority")
+
+
+@query("SELECT o_orderkey AS id, strftime(o_orderdate, '%m') || '-of-' || strftime(o_orderdate, '%Y') AS topic FROM orders")
+def smt11_routes_by_row(t):
+    out = order_records(t).transform(transforms.regex_router(r"orders-(\d{4})(\d{2})\d{2}", "$2-of-$1")).transform(transforms.regex_router(r"orders-.*", "never"))
+    return out.select(F.col("offset").alias("id"), "topic")
+
+
+@query("SELECT event_type AS key, count(*) AS n FROM events WHERE event_id % 10 <> 0 GROUP BY 1")
+def key1_without_key(t):
+    """Every tenth record has no key and takes no part."""
+    key = F.when(F.col("event_id") % 10 != 0, F.col("event_type"))
+    return stateless.group_by_key(t.events, key).agg(F.count("*").alias("n"))
+
+
+@query("SELECT user_id, count(*) AS n, 1::BIGINT AS places FROM events GROUP BY 1")
+def key4_one_place_a_key(t):
+    """All records of a key are in one partition of the seven asked for."""
+    rows = stateless.repartition(t.events, 7, "user_id").select("user_id", F.spark_partition_id().alias("p"))
+    return rows.groupBy("user_id").agg(F.count("*").alias("n"), F.count_distinct(F.when(F.col("p") < 7, F.col("p"))).alias("places"))
+
+
+@query("SELECT event_type AS topic, time_bucket(INTERVAL 1 DAY, ts + to_seconds(event_id % 10)) AS start, min(event_id % 10) * 1000 AS age_min, round(avg(event_id % 10) * 1000, 4) AS age_avg, max(event_id % 10) * 1000 AS age_max FROM events GROUP BY 1, 2")
+def rep9_ages(t):
+    late = F.col("timestamp") + F.make_dt_interval(secs=(F.col("event_id") % 10).cast("decimal(18,6)"))
+    out = replication.metrics(t.events.select(F.col("event_type").alias("topic"), F.col("ts").alias("timestamp"), "props", "event_id"), "1 day", F.length("props"), late)
+    return out.select("topic", "start", "age_min", F.round("age_avg", 4).alias("age_avg"), "age_max")
+
+
+@query(f"SELECT coalesce(n, 'gone') || '/' || user_id AS key, event_id, n AS event_type FROM {CHANGES}")
+def prj14_to_stream(t):
+    """A table's changes as a stream under a key made of each row."""
+    out = tables.to_stream(user_changes(t), F.concat_ws("/", F.coalesce("value.event_type", F.lit("gone")), "user_id"))
+    return out.select("key", "event_id", F.col("value.event_type").alias("event_type"))
+
+
+@query(f"""SELECT event_id, g AS "group", (sum(sign) OVER w)::BIGINT AS count, round(sum(sign * coalesce(v, 0)) OVER w, 2) + 0.0 AS total FROM (
+SELECT event_id, n AS g, 1 AS sign, nv AS v FROM {CHANGES} WHERE n IS NOT NULL UNION ALL SELECT event_id, o, -1, ov FROM {CHANGES} WHERE o IS NOT NULL)
+WINDOW w AS (PARTITION BY g ORDER BY event_id, sign ROWS UNBOUNDED PRECEDING)""")
+def agg7_running_sum(t):
+    out = tables.running_sum(signed(t), "value", "event_id", arrival_block())
+    return out.select("event_id", "group", "count", (F.round(F.coalesce("sum", F.lit(0.0)), 2) + F.lit(0.0)).alias("total"))
+
+
+@query(f"""WITH p AS (SELECT o_custkey AS user_id, arg_max(o_orderstatus, o_orderkey) AS event_type FROM orders GROUP BY 1)
+SELECT user_id, event_type FROM p WHERE event_type <> 'F' UNION ALL SELECT user_id, event_type FROM {LATEST} WHERE user_id NOT IN (SELECT user_id FROM p)""")
+def his12_put(t):
+    """The last put of a key holds, and one of a closed order takes the key out."""
+    puts = t.orders.select(F.col("o_custkey").alias("user_id"), F.col("o_orderstatus").alias("event_type"), F.col("o_orderkey").alias("order"))
+    return history.apply_puts(users(t).select("user_id", "event_type"), puts, "user_id", "order", deleted=F.col("event_type") == "F")
+
+
+@query(f"SELECT user_id, event_type FROM {LATEST} WHERE user_id NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
+def his12_delete(t):
+    gone = t.orders.filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("user_id"))
+    return history.apply_puts(users(t).select("user_id", "event_type"), gone, "user_id", "user_id", "delete")
+
+
+@query(f"SELECT user_id, event_type FROM {LATEST}")
+def his7_scan(t):
+    return history.scan(users(t).select("user_id", "event_type"), "user_id", reverse=True)
