@@ -58,9 +58,11 @@ def _padded_hex(data: Column, digits: int) -> tuple[Column, Column]:
 CONSTANT_SIZE, VARIABLE_SIZE, NULL_ENTRY = "00", "01", "FFFFFFFF"
 
 
-def _flagged(h: Column, flag: str, of: str) -> Column:
-    """The hex digits of a list, whose first byte has to say that it is one ``of`` this kind."""
-    return F.when(F.substring(h, 1, 2) == flag, h).when(h.isNotNull(), F.raise_error(F.concat(F.lit(f"no list of {of}: it starts with "), F.substring(h, 1, 2))).cast("string"))
+def _flagged(data: Column, flag: str, of: str, values: Column, kind: str) -> Column:
+    """``values`` of a list whose first byte says that it is one ``of`` this kind; other bytes are an error, null stays null."""
+    first = F.hex(F.substring(data, 1, 1))
+    wrong = F.raise_error(F.concat(F.lit(f"no list of {of}: it starts with "), first)).cast(kind)
+    return F.when(data.isNotNull() & (first != flag), wrong).when(data.isNotNull(), values)
 
 
 def _int_hex(value: Column) -> Column:
@@ -76,7 +78,7 @@ def longs_to_bytes(values: Column) -> Column:
 
 def longs_from_bytes(data: Column) -> Column:
     """What ``longs_to_bytes`` wrote, nulls in their places; other bytes are an error."""
-    h = _flagged(F.hex(data), CONSTANT_SIZE, "longs")
+    h = F.hex(data)
     number = lambda at, n: F.conv(F.substring(h, at, F.lit(n)), 16, 10).cast("long").cast("int")
     upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
     nulls = number(F.lit(3), 8)
@@ -85,7 +87,7 @@ def longs_from_bytes(data: Column) -> Column:
     size = number(size_at, 8)
     before = lambda i: F.size(F.filter(places, lambda p: p < i))
     value = lambda i: long_from_bytes(F.unhex(F.substring(h, size_at + 8 + 16 * (i - before(i)), F.lit(16))))
-    return F.when(data.isNotNull(), F.transform(upto(size), lambda i: F.when(~F.array_contains(places, i), value(i))))
+    return _flagged(data, CONSTANT_SIZE, "longs", F.transform(upto(size), lambda i: F.when(~F.array_contains(places, i), value(i))), "array<bigint>")
 
 
 def texts_to_bytes(values: Column) -> Column:
@@ -96,7 +98,7 @@ def texts_to_bytes(values: Column) -> Column:
 
 def texts_from_bytes(data: Column) -> Column:
     """What ``texts_to_bytes`` wrote; other bytes are an error."""
-    h = _flagged(F.hex(data), VARIABLE_SIZE, "texts")
+    h = F.hex(data)
     size = F.conv(F.substring(h, 3, 8), 16, 10).cast("int")
     none = F.array().cast("array<string>")
 
@@ -107,7 +109,7 @@ def texts_from_bytes(data: Column) -> Column:
         return F.struct((so_far["at"] + 8 + 2 * n).alias("at"), F.concat(so_far["out"], F.array(text)).alias("out"))
 
     steps = F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
-    return F.when(data.isNotNull(), F.aggregate(steps, F.struct(F.lit(11).alias("at"), none.alias("out")), take)["out"])
+    return _flagged(data, VARIABLE_SIZE, "texts", F.aggregate(steps, F.struct(F.lit(11).alias("at"), none.alias("out")), take)["out"], "array<string>")
 
 
 def long_to_bytes(value: Column, size: int = 8) -> Column:
