@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,17 +20,32 @@ def to_json(column: Column, schema_json: str | None = None) -> Column:
     return body if schema_json is None else F.when(column.isNotNull(), F.concat(F.lit(f'{{"schema":{schema_json},"payload":'), body, F.lit("}")))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, and stands once in the expression."""
+    return F.transform(F.array(value), use)[0]
+
+
 def decimal_from_base64(text: Column, scale: int) -> Column:
     """A decimal from base64 of its unscaled two's complement of any length; null if 38 digits can't hold it."""
-    padded, negative = _padded_hex(F.unbase64(text), 32)
-    words = [F.conv(F.substring(padded, 1 + 8 * k, 8), 16, 10).cast("decimal(38,0)") for k in range(4)]
-    value = F.when(negative, words[0] - F.lit(1 << 32)).otherwise(words[0])
-    for w in words[1:]:
-        value = F.try_add(F.try_multiply(value.cast("decimal(38,0)"), F.lit(1 << 32).cast("decimal(10,0)")), w)
-    digits = F.lpad(F.abs(value.cast("decimal(38,0)")).cast("string"), F.greatest(F.length(F.abs(value.cast("decimal(38,0)")).cast("string")), F.lit(scale + 1)), F.lit("0"))
-    point = F.length(digits) - scale
-    signed = F.concat(F.when(negative, "-").otherwise(""), F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, F.lit(scale)))
-    return signed.try_cast(f"decimal(38,{scale})")
+
+    def unscaled(padded: Column, negative: Column) -> Column:
+        words = [F.conv(F.substring(padded, 1 + 8 * k, 8), 16, 10).cast("decimal(38,0)") for k in range(4)]
+        value = F.when(negative, words[0] - F.lit(1 << 32)).otherwise(words[0])
+        for w in words[1:]:
+            value = F.try_add(F.try_multiply(value.cast("decimal(38,0)"), F.lit(1 << 32).cast("decimal(10,0)")), w)
+        return value.cast("decimal(38,0)")
+
+    def placed(bare: Column, negative: Column) -> Column:
+        digits = F.lpad(bare, F.greatest(F.length(bare), F.lit(scale + 1)), F.lit("0"))
+        point = F.length(digits) - scale
+        signed = F.concat(F.when(negative, "-").otherwise(""), F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, F.lit(scale)))
+        return signed.try_cast(f"decimal(38,{scale})")
+
+    def of(data: Column) -> Column:
+        padded, negative = _padded_hex(data, 32)
+        return _let(padded, lambda p: _let(F.abs(unscaled(p, negative)).cast("string"), lambda bare: placed(bare, negative)))
+
+    return _let(F.unbase64(text), of)
 
 
 def decimal_to_base64(value: Column, scale: int) -> Column:
@@ -78,16 +95,17 @@ def longs_to_bytes(values: Column) -> Column:
 
 def longs_from_bytes(data: Column) -> Column:
     """What ``longs_to_bytes`` wrote, nulls in their places; other bytes are an error."""
-    h = F.hex(data)
-    number = lambda at, n: F.conv(F.substring(h, at, F.lit(n)), 16, 10).cast("long").cast("int")
+    number = lambda h, at: F.conv(F.substring(h, at, F.lit(8)), 16, 10).cast("long").cast("int")
     upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    nulls = number(F.lit(3), 8)
-    places = F.transform(upto(nulls), lambda k: number(11 + 8 * k, 8))
-    size_at = 11 + 8 * nulls
-    size = number(size_at, 8)
-    before = lambda i: F.size(F.filter(places, lambda p: p < i))
-    value = lambda i: long_from_bytes(F.unhex(F.substring(h, size_at + 8 + 16 * (i - before(i)), F.lit(16))))
-    return _flagged(data, CONSTANT_SIZE, "longs", F.transform(upto(size), lambda i: F.when(~F.array_contains(places, i), value(i))), "array<bigint>")
+
+    def values(h: Column, places: Column) -> Column:
+        at = 11 + 8 * F.size(places)
+        before = lambda i: F.size(F.filter(places, lambda p: p < i))
+        value = lambda i: long_from_bytes(F.unhex(F.substring(h, at + 8 + 16 * (i - before(i)), F.lit(16))))
+        return F.transform(upto(number(h, at)), lambda i: F.when(~F.array_contains(places, i), value(i)))
+
+    nulls = lambda h: F.transform(upto(number(h, F.lit(3))), lambda k: number(h, 11 + 8 * k))
+    return _flagged(data, CONSTANT_SIZE, "longs", _let(F.hex(data), lambda h: _let(nulls(h), lambda places: values(h, places))), "array<bigint>")
 
 
 def texts_to_bytes(values: Column) -> Column:

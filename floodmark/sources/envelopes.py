@@ -104,7 +104,7 @@ def payload(column: Column, schema: dict) -> Column:
     text = F.get_json_object(column.cast("string"), "$.payload")
     wrapped = F.concat(F.lit('{"d":'), F.when(F.lit(schema["type"] == "string" or _read_type(schema) == T.StringType()) & text.isNotNull(), F.to_json(F.array(text)).substr(F.lit(2), F.length(F.to_json(F.array(text))) - 2)).otherwise(text), F.lit("}"))
     read = F.from_json(F.coalesce(wrapped, F.lit("{}")), T.StructType([T.StructField("d", _read_type(schema))]))["d"]
-    return F.when(column.isNotNull(), _value(read, schema, "payload"))
+    return F.when(column.isNotNull(), F.transform(F.array(read), lambda r: _value(r, schema, "payload"))[0])
 
 
 def from_envelopes(df: DataFrame, column: str, schema: dict | None = None) -> DataFrame:
