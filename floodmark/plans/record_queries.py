@@ -188,10 +188,11 @@ FROM (SELECT *, (CASE WHEN event_id % 3 = 0 THEN 2 ELSE 1 END)::BIGINT AS nulls
 def cnv4_longs(t):
     """Lists with nulls to bytes and back."""
     values = F.array(F.col("user_id"), F.lit(None).cast("long"), F.when(F.col("event_id") % 3 != 0, -F.col("event_id")), F.col("event_id"))
-    data = convert.longs_to_bytes(values)
-    back = convert.longs_from_bytes(data)
-    known = F.filter(back, lambda v: v.isNotNull())
-    return t.events.select("event_id", (F.size(back) - F.size(known)).cast("long").alias("nulls"), F.size(known).cast("long").alias("known"), F.aggregate(known, F.lit(0).cast("long"), lambda a, b: a + b).alias("total"), F.octet_length(data).alias("bytes"))
+    written = t.events.select("event_id", convert.longs_to_bytes(values).alias("data"))
+    read = written.select("event_id", convert.longs_from_bytes(F.col("data")).alias("back"), F.octet_length("data").alias("bytes"))
+    both = read.select("event_id", F.size("back").cast("long").alias("n"), F.filter("back", lambda v: v.isNotNull()).alias("present"), "bytes")
+    known = F.size("present").cast("long")
+    return both.select("event_id", (F.col("n") - known).alias("nulls"), known.alias("known"), F.aggregate("present", F.lit(0).cast("long"), lambda a, b: a + b).alias("total"), "bytes")
 
 
 @query("SELECT event_id, event_type || '/-/' || props AS texts FROM events")

@@ -56,9 +56,8 @@ def decimal_to_base64(value: Column, scale: int) -> Column:
 def long_from_bytes(data: Column) -> Column:
     """A signed big-endian number of any length; empty, null or what a long can't hold gives null."""
     padded, _ = _padded_hex(data, 16)
-    high = F.conv(F.substring(padded, 1, 8), 16, 10).cast("long")
-    low = F.conv(F.substring(padded, 9, 8), 16, 10).cast("long")
-    return F.shiftleft(high, 32).bitwiseOR(low)
+    digits = F.when(F.octet_length(data) == 8, F.hex(data)).otherwise(padded)
+    return F.conv(digits, 16, -10).cast("long")  # to a negative base: signed
 
 
 def _padded_hex(data: Column, digits: int) -> tuple[Column, Column]:
@@ -82,52 +81,69 @@ def _flagged(data: Column, flag: str, of: str, values: Column, kind: str) -> Col
     return F.when(data.isNotNull() & (first != flag), wrong).when(data.isNotNull(), values)
 
 
+def _number(data: Column, at: Column) -> Column:
+    """The four bytes from position ``at``."""
+    return F.conv(F.hex(F.substring(data, at, F.lit(4))), 16, 10).cast("long").cast("int")
+
+
 def _int_hex(value: Column) -> Column:
     return F.lpad(F.hex(value.cast("long")), 8, "0")
 
 
 def longs_to_bytes(values: Column) -> Column:
     """A list of longs: flag, count and places of nulls, size, then 8 bytes for each that isn't null."""
-    places = F.filter(F.transform(values, lambda v, i: F.when(v.isNull(), i)), lambda i: i.isNotNull())
-    body = F.array_join(F.transform(F.filter(values, lambda v: v.isNotNull()), lambda v: F.lpad(F.hex(v), 16, "0")), "")
-    return F.when(values.isNotNull(), F.unhex(F.concat(F.lit(CONSTANT_SIZE), _int_hex(F.size(places)), F.array_join(F.transform(places, _int_hex), ""), _int_hex(F.size(values)), body)))
+
+    def written(all_: Column, places: Column) -> Column:
+        body = F.transform(F.filter(all_, lambda v: v.isNotNull()), lambda v: F.lpad(F.hex(v), 16, "0"))
+        return F.unhex(F.concat(F.lit(CONSTANT_SIZE), _int_hex(F.size(places)), F.array_join(F.transform(places, _int_hex), ""), _int_hex(F.size(all_)), F.array_join(body, "")))
+
+    places = lambda v: F.filter(F.transform(v, lambda x, i: F.when(x.isNull(), i)), lambda i: i.isNotNull())
+    return _let(values, lambda v: F.when(v.isNotNull(), _let(places(v), lambda p: written(v, p))))
 
 
 def longs_from_bytes(data: Column) -> Column:
     """What ``longs_to_bytes`` wrote, nulls in their places; other bytes are an error."""
-    number = lambda h, at: F.conv(F.substring(h, at, F.lit(8)), 16, 10).cast("long").cast("int")
     upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
-    def values(h: Column, places: Column) -> Column:
-        at = 11 + 8 * F.size(places)
-        before = lambda i: F.size(F.filter(places, lambda p: p < i))
-        value = lambda i: long_from_bytes(F.unhex(F.substring(h, at + 8 + 16 * (i - before(i)), F.lit(16))))
-        return F.transform(upto(number(h, at)), lambda i: F.when(~F.array_contains(places, i), value(i)))
+    def values(d: Column, all_: Column, places: Column) -> Column:
+        value = lambda k: long_from_bytes(F.substring(d, 10 + 4 * F.size(places) + 8 * k, F.lit(8)))
+        entry = lambda i, v: F.struct(i.alias("i"), v.alias("v"))
+        known = F.transform(F.array_except(all_, places), lambda i, k: entry(i, value(k)))
+        nulls = F.transform(F.array_intersect(all_, places), lambda i: entry(i, F.lit(None).cast("long")))
+        merged = F.transform(F.sort_array(F.concat(known, nulls)), lambda e: e["v"])
+        return F.when(F.size(places) == 0, F.transform(all_, value)).otherwise(merged)
 
-    nulls = lambda h: F.transform(upto(number(h, F.lit(3))), lambda k: number(h, 11 + 8 * k))
-    return _flagged(data, CONSTANT_SIZE, "longs", _let(F.hex(data), lambda h: _let(nulls(h), lambda places: values(h, places))), "array<bigint>")
+    def read(d: Column) -> Column:
+        nulls = _let(_number(d, F.lit(2)), lambda m: F.transform(upto(m), lambda k: _number(d, 6 + 4 * k)))
+        sized = lambda p: _let(_number(d, 6 + 4 * F.size(p)), upto)
+        return _let(nulls, lambda p: _let(sized(p), lambda i: values(d, i, p)))
+
+    return _let(data, lambda d: _flagged(d, CONSTANT_SIZE, "longs", read(d), "array<bigint>"))
 
 
 def texts_to_bytes(values: Column) -> Column:
     """A list of texts: flag, size, then length and UTF-8 bytes of each, a null by its length alone."""
     entry = lambda v: F.when(v.isNull(), NULL_ENTRY).otherwise(F.concat(_int_hex(F.octet_length(v)), F.hex(v.cast("binary"))))
-    return F.when(values.isNotNull(), F.unhex(F.concat(F.lit(VARIABLE_SIZE), _int_hex(F.size(values)), F.array_join(F.transform(values, entry), ""))))
+    written = lambda v: F.unhex(F.concat(F.lit(VARIABLE_SIZE), _int_hex(F.size(v)), F.array_join(F.transform(v, entry), "")))
+    return _let(values, lambda v: F.when(v.isNotNull(), written(v)))
 
 
 def texts_from_bytes(data: Column) -> Column:
     """What ``texts_to_bytes`` wrote; other bytes are an error."""
-    h = F.hex(data)
-    size = F.conv(F.substring(h, 3, 8), 16, 10).cast("int")
     none = F.array().cast("array<string>")
 
-    def take(so_far: Column, _: Column) -> Column:
-        raw = F.substring(h, so_far["at"], F.lit(8))
-        n = F.when(raw == NULL_ENTRY, 0).otherwise(F.conv(F.when(raw != NULL_ENTRY, raw), 16, 10).cast("int"))
-        text = F.when(raw != NULL_ENTRY, F.unhex(F.substring(h, so_far["at"] + 8, 2 * n)).cast("string"))
-        return F.struct((so_far["at"] + 8 + 2 * n).alias("at"), F.concat(so_far["out"], F.array(text)).alias("out"))
+    def read(d: Column) -> Column:
+        def take(so_far: Column, _: Column) -> Column:
+            at = so_far["at"]
+            text = lambda n: F.substring(d, at + 4, n).cast("string")
+            after = lambda n: F.struct((at + 4 + F.coalesce(n, F.lit(0))).alias("at"), F.concat(so_far["out"], F.array(text(n))).alias("out"))
+            length = lambda h: F.when(h != NULL_ENTRY, F.conv(F.nullif(h, F.lit(NULL_ENTRY)), 16, 10).cast("int"))
+            return _let(F.hex(F.substring(d, at, F.lit(4))), lambda h: _let(length(h), after))
+
+        steps = _let(_number(d, F.lit(2)), lambda n: F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")))
+        return F.aggregate(steps, F.struct(F.lit(6).alias("at"), none.alias("out")), take)["out"]
 
-    steps = F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
-    return _flagged(data, VARIABLE_SIZE, "texts", F.aggregate(steps, F.struct(F.lit(11).alias("at"), none.alias("out")), take)["out"], "array<string>")
+    return _let(data, lambda d: _flagged(d, VARIABLE_SIZE, "texts", read(d), "array<string>"))
 
 
 def long_to_bytes(value: Column, size: int = 8) -> Column:

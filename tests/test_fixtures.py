@@ -254,6 +254,22 @@ def test_lists_as_bytes(spark):
     assert bytes(out[0].tb).hex() == "01" "00000003" "00000001" "61" "ffffffff" "00000002" "c3a9"
 
 
+def test_lists_are_worked_out_once(spark, sf_dir):
+    """The column of a list stands once in its codec's expression, and the query writes its lists once; many nulls are no square."""
+    from floodmark.plans import registry
+    from floodmark.sources import convert
+
+    for f in (convert.longs_to_bytes, convert.longs_from_bytes, convert.texts_to_bytes, convert.texts_from_bytes):
+        assert str(f(F.col("the_list"))).count("the_list") == 1
+    plan = registry.queries()["cnv4_longs"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("unhex(") == 1
+    edges = [None, 2**63 - 1, -(2**63), -1, 0, 255, None, None]
+    many = [i if i % 3 == 0 else None for i in range(20_000)]
+    df = spark.createDataFrame([(edges,), ([None],), (many,)], "n array<long>")
+    out = df.select("n", convert.longs_from_bytes(convert.longs_to_bytes(F.col("n"))).alias("m")).collect()
+    assert len(out) == 3 and all(r.n == r.m for r in out)
+
+
 def test_drop_under_a_predicate(spark):
     from floodmark.operators import transforms
 
