@@ -66,35 +66,41 @@ def sliding(df: DataFrame, key: str, ts: str, difference_ms: int, *aggregates: C
 
 _PARTIAL = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 _MERGED = {"sum": lambda a, b: F.coalesce(a + b, a, b), "min": F.least, "max": F.greatest}
+#: Whose record cuts a pair of buckets, in the order of those with the same place.
+SECOND, MARK, FIRST = 0, 1, 2
 
 
 def sliding_merged(df: DataFrame, key: str, ts: str, difference_ms: int, results: dict[str, tuple[str, Column]]) -> DataFrame:
     """As ``sliding``, for aggregates that merge: ``results`` maps names to (sum, count, min or max, column).
 
     Linear in the records of a window: they are first aggregated by time, times are cut into buckets as
-    wide as the window, and a window is the end of one bucket and the beginning of the next. Both are running
-    results within a bucket, one from its end and one from its start, so no record is joined to a window.
+    wide as the window, and a window is the end of one bucket and the beginning of the next. A record at
+    place p of its bucket cuts two pairs of buckets there: the window up to it ends at p of the pair's second
+    bucket, the window after it starts behind p of the pair's first. So a time is two rows, one for each pair, and
+    a pair's windows are running results over its rows by place, from both ends.
     """
     width = difference_ms + 1
-    bucket = lambda c: F.floor(F.col(c) / width)
     rows = df.dropna(subset=[key]).withColumn("_t", epoch_millis(F.col(ts)))
     counted = results | {"_records": ("count", F.lit(1))}
     times = rows.groupBy(key, "_t").agg(*[_PARTIAL[k](c).alias(n) for n, (k, c) in counted.items()])
-    starts = times.select(key, F.explode(F.array(F.greatest(F.col("_t") - difference_ms, F.lit(0)), F.col("_t") + 1)).alias("start_ms"))
-    ends = F.struct((F.col("start_ms") + difference_ms).alias("_t"), F.lit(2).alias("_side"))
-    sides = F.array(F.struct(F.col("start_ms").alias("_t"), F.lit(1).alias("_side")), F.when(F.col("start_ms") % width != 0, ends))
-    marks = starts.withColumn("_m", F.explode(F.filter(sides, lambda m: m.isNotNull()))).select(key, "start_ms", "_m.*")
-    both = times.withColumn("_side", F.lit(0)).unionByName(marks, allowMissingColumns=True).withColumn("_b", bucket("_t"))
-    # a mark comes after the times that belong to it, seen from the bucket's end or from its start
-    part = Window.partitionBy(key, "_b")
-    from_end, from_start = part.orderBy(F.desc("_t"), "_side"), part.orderBy("_t", "_side")
+    bucket, place = F.floor(F.col("_t") / width), F.pmod(F.col("_t"), F.lit(width))
+    cut = lambda pair, at, side: F.struct(pair.cast("long").alias("_pair"), at.cast("long").alias("_at"), F.lit(side).alias("_side"))
+    cuts = [cut(bucket - 1, place, SECOND), cut(bucket, place, FIRST)]
+    early = [cut(F.lit(-1), F.lit(difference_ms), MARK)]  # the window [0, d] in place of one that would start before 0
+    cuts = F.when(F.col("_t") < difference_ms, F.array(*cuts, *early)).otherwise(F.array(*cuts))
+    both = times.withColumn("_c", F.explode(cuts)).select(key, *counted, "_c.*")
+    # seen from either end, what has the same place comes in this order of sides: a row's own time counts only if it's of the second bucket
+    part = Window.partitionBy(key, "_pair")
+    from_start = part.orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    from_end = part.orderBy(F.desc("_at"), "_side").rowsBetween(Window.unboundedPreceding, -1)
     merge = {n: {"count": "sum"}.get(k, k) for n, (k, _) in counted.items()}
-    so_far = lambda n, w: _PARTIAL[merge[n]](n).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    found = both.withColumns({f"_{n}": F.when(F.col("_side") == 1, so_far(n, from_end)).when(F.col("_side") == 2, so_far(n, from_start)) for n in counted})
-    found = found.filter("_side > 0").groupBy(key, "start_ms")
-    pairs = found.agg(*[F.max(F.when(F.col("_side") == s, F.col(f"_{n}"))).alias(f"_{n}{s}") for n in counted for s in (1, 2)])
+    so_far = lambda n, side, w: _PARTIAL[merge[n]](F.when(F.col("_side") == side, F.col(n))).over(w)
+    start = F.col("_pair") * width + F.col("_at") + 1
+    starts = F.when((F.col("_side") != SECOND) | (start >= 0), F.col("_at"))
+    found = both.withColumns({**{f"_{n}1": so_far(n, FIRST, from_end) for n in counted}, **{f"_{n}2": so_far(n, SECOND, from_start) for n in counted}, "_last": F.max(starts).over(from_start.rowsBetween(Window.unboundedPreceding, -1))})
+    found = found.filter(starts.isNotNull() & (F.col("_last").isNull() | (F.col("_last") < F.col("_at"))))
     merged = {n: _MERGED[merge[n]](F.col(f"_{n}1"), F.col(f"_{n}2")) for n in counted}
-    out = pairs.select(key, "start_ms", *[c.alias(n) for n, c in merged.items()]).filter("_records > 0").drop("_records")
+    out = found.select(key, start.alias("start_ms"), *[c.alias(n) for n, c in merged.items()]).filter("_records > 0").drop("_records")
     return out.withColumn("end_ms", F.col("start_ms") + difference_ms)
 
 

@@ -78,6 +78,18 @@ def test_a_hot_key_is_linear(spark):
     assert out.agg(F.max("n"), F.max("total"), F.count("*")).first()[:2] == (300_000, 299_999 * 150_000)
 
 
+@pytest.mark.parametrize("difference", [0, 1, 9, 50])
+def test_merged_sliding_windows_sort_two_rows_a_time(spark, difference):
+    """A time is in two pairs of buckets and no more rows: they are made once, of one scan, and sorted from both ends."""
+    rng = random.Random(difference)
+    rows = [(rng.choice("ab"), rng.randrange(-40, 60), rng.choice([None, rng.randrange(99)])) for _ in range(120)]
+    df = spark.createDataFrame(rows, "key string, ms long, v long").select("key", F.timestamp_millis("ms").alias("ts"), "v")
+    got, want = windows.sliding_merged(df, "key", "ts", difference, results()), windows.sliding(df, "key", "ts", difference, *plain())
+    assert sorted(map(str, got.select(*COLUMNS).collect())) == sorted(map(str, want.select(*COLUMNS).collect()))
+    nodes = [line.strip(" :+-").split(" ")[0] for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines()]
+    assert [nodes.count(n) for n in ("Generate", "Window", "Aggregate", "Union", "Join")] == [1, 2, 1, 0, 0]
+
+
 def test_sliding_windows_on_a_stream(spark, tmp_path):
     rng = random.Random(2)
     rows = records(77)
